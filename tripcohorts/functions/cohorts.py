@@ -1,8 +1,9 @@
 """Calendar cohorts: a label for each trip, and the time windows the labels cover.
 
-The windows matter at scale. A predicate on ``month(ts)`` can only be evaluated after a row
-was decoded; a union of half-open ranges on the raw timestamp reaches the Parquet scan, and
-for tables laid out by month (see ``sinks.monthly``) it also names the folders to read.
+The windows matter at scale. ``month(ts)`` decodes every timestamp into a calendar date; a
+union of half-open ranges on the raw timestamp is plain number comparison that also reaches
+the Parquet scan. Tables laid out by month (see ``sinks.monthly``) need neither: windows of
+whole months are folder names there, and the timestamp is not read at all.
 """
 
 from __future__ import annotations
@@ -57,11 +58,16 @@ def in_windows(column: str, windows: Iterable[Window]) -> Column:
     return reduce(or_, ranges)
 
 
-def keep_windows(trips: DataFrame, column: str, windows: list[Window]) -> DataFrame:
-    """Rows inside the windows; prunes month folders where the table has them."""
-    if MONTH_PARTITION in trips.columns:
-        trips = trips.filter(F.col(MONTH_PARTITION).isin(*months_touched(windows)))
-    return trips.filter(in_windows(column, windows))
+def whole_months(windows: Iterable[Window]) -> bool:
+    return all(start.day == 1 and end.day == 1 for start, end in windows)
+
+
+def member(trips: DataFrame, column: str, windows: list[Window]) -> Column:
+    """In-window test by the cheapest means the table offers."""
+    if MONTH_PARTITION not in trips.columns:
+        return in_windows(column, windows)
+    in_months = F.col(MONTH_PARTITION).isin(*months_touched(windows))
+    return in_months if whole_months(windows) else in_months & in_windows(column, windows)
 
 
 @dataclass(frozen=True)
@@ -85,13 +91,8 @@ class MonthCohorts:
         month = F.month(timestamp)
         return _cases([(month.isin(*group), name) for name, group in self.months.items()], self.other)
 
-    def windows(self) -> list[Window]:
-        firsts = [
-            date(year, month, 1)
-            for year in self.years
-            for group in self.months.values()
-            for month in group
-        ]
+    def windows(self, label: str) -> list[Window]:
+        firsts = [date(year, month, 1) for year in self.years for month in self.months[label]]
         return merge_windows((first, _next_month(first)) for first in firsts)
 
 
@@ -114,19 +115,29 @@ class DateCohorts:
             self.other,
         )
 
-    def windows(self) -> list[Window]:
-        return merge_windows(
-            (first, last + timedelta(days=1)) for first, last in self.ranges.values()
-        )
+    def windows(self, label: str) -> list[Window]:
+        first, last = self.ranges[label]
+        return [(first, last + timedelta(days=1))]
 
 
 Cohorts = MonthCohorts | DateCohorts
 
 
+def all_windows(cohorts: Cohorts) -> list[Window]:
+    return merge_windows(window for label in cohorts.labels for window in cohorts.windows(label))
+
+
 def select_cohorts(trips: DataFrame, timestamp: str, cohorts: Cohorts) -> DataFrame:
-    """Keep the trips of the cohorts and add the cohort column."""
-    kept = keep_windows(trips, timestamp, cohorts.windows())
-    return kept.withColumn(cohorts.column, cohorts.label(timestamp))
+    """Keep the trips of the cohorts and add the cohort column.
+
+    Gives the labels of ``cohorts.label`` for the trips it keeps: what is in some window and
+    not in an earlier label's belongs to the last label.
+    """
+    *earlier, last = cohorts.labels
+    branches = [(member(trips, timestamp, cohorts.windows(label)), label) for label in earlier]
+    label = _cases(branches, last) if branches else F.lit(last)
+    kept = trips.filter(member(trips, timestamp, all_windows(cohorts)))
+    return kept.withColumn(cohorts.column, label)
 
 
 def _cases(branches: list[tuple[Column, str]], otherwise: str) -> Column:

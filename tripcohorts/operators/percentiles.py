@@ -61,11 +61,11 @@ def _sketched_values(frame: DataFrame, columns: Sequence[str], relative_error: f
 
     Every task sends one sketch, and its group's task merges only that group's sketches.
     """
-    points = ceil(2 / relative_error)
-    grid = [(i + 0.5) / points for i in range(points)]
-    accuracy = ceil(2 / relative_error)
+    points = accuracy = ceil(2 / relative_error)
+    # one text literal: thousands of array elements would bloat the plan
+    grid = F.split(F.lit(",".join(str((i + 0.5) / points) for i in range(points))), ",")
     sketches = frame.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part")).agg(
-        *[F.percentile_approx(c, grid, accuracy).alias(c) for c in columns],
+        *[F.percentile_approx(c, grid.cast("array<double>"), accuracy).alias(c) for c in columns],
         *[F.count(c).alias(f"{c}_n") for c in columns],
     )
     groups = sketches.select(

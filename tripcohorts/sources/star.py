@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripcohorts.config import BASELINE, HOLIDAY, DateStudy, MonthStudy
-from tripcohorts.functions.cohorts import Cohorts, DateCohorts, MonthCohorts, keep_windows
+from tripcohorts.functions.cohorts import (
+    MONTH_PARTITION,
+    Cohorts,
+    DateCohorts,
+    MonthCohorts,
+    all_windows,
+    in_windows,
+)
 
 # The study settings that fit this data.
 AIRPORTS = (1, 3, 8)
@@ -42,17 +49,19 @@ def trips(spark: SparkSession, folder: str, cohorts: Cohorts | None = None) -> D
     """The trips. With ``cohorts``, days outside them are already left out at the scan.
 
     Pickups keep their ship date's day and only gain an hour, and cohort windows are whole
-    days, so the windows mean the same on the stored column and can be pushed to it.
+    days, so the windows mean the same on the stored column and can be pushed to it. The
+    month column is what month-partitioned trip tables have.
     """
     items = spark.read.parquet(f"{folder}/lineitem.parquet")
     if cohorts is not None:
-        items = keep_windows(items, "l_shipdate", cohorts.windows())
+        items = items.filter(in_windows("l_shipdate", all_windows(cohorts)))
     return items.selectExpr(
-        "l_shipdate + make_dt_interval(0, cast((l_orderkey * 7 + l_linenumber * 5) % 24 as int))"
+        "l_shipdate + interval '1' hour * cast((l_orderkey * 7 + l_linenumber * 5) % 24 as int)"
         " as tpep_pickup_datetime",
-        "(cast(round(l_extendedprice * 100) as bigint) - 400000) * 11 / cast(1048576 as double)"
+        f"year(l_shipdate) * 100 + month(l_shipdate) as {MONTH_PARTITION}",
+        "(cast(rint(l_extendedprice * 100) as bigint) - 400000) * 11 / cast(1048576 as double)"
         " as fare_amount",
-        "(cast(round(l_discount * 100) as int) - 1) * l_quantity * cast(0.078125 as double)"
+        "(cast(rint(l_discount * 100) as int) - 1) * l_quantity * cast(0.078125 as double)"
         " as tip_amount",
         "l_quantity * cast(0.5625 as double) - 1 as trip_distance",
         "nullif(l_partkey % 40, 39) as PULocationID",
