@@ -1,8 +1,9 @@
 """Percentiles of several columns at once, approximate or exact.
 
-Both kinds reduce the trips to weighted values ``(column, value, n)`` and then pick the value
-at a rank; they differ in how many values stand for the trips. No task ever holds a column:
-sketches are merged in many groups first, and ranks are found range by range.
+Both kinds reduce the trips to weighted values and pick the value at a rank. Approximate ones
+keep a fixed number of values per group of tasks, so what is left is bounded whatever the
+trips are. Exact ones keep every distinct value, so ranks are found range by range. Neither
+merges all tasks' sketches, or holds a whole column, in one task.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripcohorts.session import cut_lineage
@@ -24,9 +25,25 @@ def approx_percentiles(
     """Rows (column, p, value); the value's rank is within ``relative_error`` of p.
 
     An upper-tail percentile needs an error well below 1 - p, or the maximum is a valid
-    answer. The error is split between the sketches and the grid read off them.
+    answer. At most SKETCH_GROUPS / relative_error values per column are ranked.
     """
-    return _pick_ranks(_sketched_values(frame, columns, relative_error), columns, ps)
+    by_value = Window.partitionBy("column").orderBy("value")
+    running = _sketched_values(frame, columns, relative_error).select(
+        "column",
+        "value",
+        F.sum("share").over(by_value.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        F.sum("share").over(Window.partitionBy("column")).alias("total"),
+    )
+    # shares are fractions: leave room for their rounding when comparing with a whole rank
+    reached = [
+        F.coalesce(
+            F.min(F.when(F.col("upto") >= F.col("total") * (p * (1 - 1e-12)), F.col("value"))), F.max("value")
+        )
+        for p in ps
+    ]
+    picked = running.groupBy("column").agg(F.array(*reached).alias("values"))
+    rows = [F.struct(F.lit(float(p)).alias("p"), F.col("values")[i].alias("value")) for i, p in enumerate(ps)]
+    return _every_row(picked.select("column", F.inline(F.array(*rows))), columns, ps)
 
 
 def exact_percentiles(frame: DataFrame, columns: Sequence[str], ps: Sequence[float]) -> DataFrame:
@@ -48,20 +65,24 @@ def percentiles(
 
 
 def _counted_values(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    entries = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    )
     return (
-        frame.select(F.inline(_entries({c: F.col(c) for c in columns}, "value")))
+        frame.select(F.inline(entries))
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
-        .agg(F.count("*").cast("double").alias("n"))
+        .agg(F.count("*").alias("n"))
     )
 
 
 def _sketched_values(frame: DataFrame, columns: Sequence[str], relative_error: float) -> DataFrame:
     """A grid of quantiles per group of input partitions, each standing for an equal share.
 
-    Every task sends one sketch, and its group's task merges only that group's sketches.
+    Every task sends one sketch, and its group's task merges only that group's sketches. The
+    sketches take half of the allowed error and the spacing of the grid the other half.
     """
-    points = accuracy = ceil(2 / relative_error)
+    points, accuracy = ceil(1 / relative_error), ceil(2 / relative_error)
     # one text literal: thousands of array elements would bloat the plan
     grid = F.split(F.lit(",".join(str((i + 0.5) / points) for i in range(points))), ",")
     sketches = frame.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part")).agg(
@@ -82,57 +103,49 @@ def _sketched_values(frame: DataFrame, columns: Sequence[str], relative_error: f
             )
         )
     )
-    return (
-        groups.select("column", F.explode("values").alias("value"), "share")
-        .groupBy("column", "value")
-        .agg(F.sum("share").alias("n"))
-    )
+    return groups.select("column", F.explode("values").alias("value"), "share")
 
 
-def _pick_ranks(weighted: DataFrame, columns: Sequence[str], ps: Sequence[float]) -> DataFrame:
-    """The first value whose running weight reaches p of the column's weight.
+def _pick_ranks(counted: DataFrame, columns: Sequence[str], ps: Sequence[float]) -> DataFrame:
+    """The first value whose running count reaches p of the column's count.
 
-    Values are range-partitioned, so running weights need only the totals of the ranges
+    Values are range-partitioned, so running counts need only the totals of the ranges
     before: those are one row per range. Only ranges that hold a wanted rank are sorted.
     """
-    spark = weighted.sparkSession
+    spark = counted.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # range bounds are sampled, so the assignment is kept and not computed twice
     ranged = cut_lineage(
-        weighted.repartitionByRange(ranges, "column", "value").withColumn("part", F.spark_partition_id())
+        counted.repartitionByRange(ranges, "column", "value").withColumn("part", F.spark_partition_id())
     )
     before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         ranged.groupBy("column", "part")
         .agg(F.sum("n").alias("held"))
-        .withColumn("start", F.coalesce(F.sum("held").over(before), F.lit(0.0)))
+        .withColumn("start", F.coalesce(F.sum("held").over(before), F.lit(0)))
         .withColumn("total", F.sum("held").over(Window.partitionBy("column")))
     )
     wanted = starts.select(
-        "column", "part", "start", "held", "total", F.explode(F.array(*map(F.lit, map(float, ps)))).alias("p")
+        *["column", "part", "start", "held", "total"],
+        F.explode(F.array(*[F.lit(float(p)) for p in ps])).alias("p"),
     ).withColumn("rank", F.greatest(F.ceil(F.col("total") * F.col("p")), F.lit(1)))
-    # the last range also takes a rank that rounding put past the end
-    is_last = F.col("start") + F.col("held") >= F.col("total")
-    holds = (F.col("start") < F.col("rank")) & ((F.col("rank") <= F.col("start") + F.col("held")) | is_last)
+    holds = (F.col("start") < F.col("rank")) & (F.col("rank") <= F.col("start") + F.col("held"))
     targets = wanted.filter(holds).select("column", "part", "p", "start", "rank")
 
     running = Window.partitionBy("column", "p", "part").orderBy("value")
     reached = (
         ranged.join(F.broadcast(targets), ["column", "part"])
         .withColumn("upto", F.col("start") + F.sum("n").over(running))
-        .withColumn("at", F.when(F.col("upto") >= F.col("rank"), F.col("value")))
+        .filter(F.col("upto") >= F.col("rank"))
         .groupBy("column", "p")
-        # the column's largest value where the weights' rounding falls short of the rank
-        .agg(F.coalesce(F.min("at"), F.max("value")).alias("value"))
+        .agg(F.min("value").alias("value"))
     )
-    every = spark.createDataFrame([(c, float(p)) for c in columns for p in ps], "column string, p double")
-    return every.join(F.broadcast(reached), ["column", "p"], "left")
+    return _every_row(reached, columns, ps)
 
 
-def _entries(values: dict[str, Column], name: str) -> Column:
-    return F.array(
-        *[
-            F.struct(F.lit(column).alias("column"), value.cast("double").alias(name))
-            for column, value in values.items()
-        ]
-    )
+def _every_row(found: DataFrame, columns: Sequence[str], ps: Sequence[float]) -> DataFrame:
+    """One row per column and p, with NULL where the column holds no value."""
+    pairs = [(c, float(p)) for c in columns for p in ps]
+    every = found.sparkSession.createDataFrame(pairs, "column string, p double")
+    return every.join(F.broadcast(found), ["column", "p"], "left")
+

@@ -40,7 +40,11 @@ def rounded_moments(frame: DataFrame, columns: Sequence[str], places: int = 4) -
 
 
 def describe(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Statistics as rows, columns as columns, all text; quartiles are approximate."""
+    """Statistics as rows, columns as columns, all text; quartiles are approximate.
+
+    The table ``DataFrame.summary`` gives, with its error, but with the quartile sketches
+    merged group by group instead of all in the last task.
+    """
     measured = moments(frame, columns)
     plain = [s for s in PROFILE_STATISTICS if not s.endswith("%")]
     quartiles = [s for s in PROFILE_STATISTICS if s.endswith("%")]
