@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import redirect_stdout
 from datetime import datetime
+from io import StringIO
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,10 @@ def zones(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 
 def values(frame: DataFrame) -> list[tuple]:
     return [tuple(row) for row in frame.collect()]
+
+
+def explained(frame: DataFrame) -> str:
+    text = StringIO()
+    with redirect_stdout(text):
+        frame.explain("formatted")
+    return text.getvalue()

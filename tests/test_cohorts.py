@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from helpers import trip, trips, values
+from helpers import explained, trip, trips, values
 from pyspark.sql import functions as F
 
 from tripcohorts.config import DateStudy, MonthStudy
@@ -98,6 +98,3 @@ def test_calendar_columns(spark):
     frame = add_calendar(trips(spark, [trip(tpep_pickup_datetime=datetime(2025, 12, 31, 23, 59, 59))]))
     assert values(frame.select("pickup_date", "pickup_month", "pickup_hour")) == [(date(2025, 12, 31), 12, 23)]
 
-
-def explained(frame) -> str:
-    return frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")

@@ -46,7 +46,7 @@ def controlled_comparison(
 
 
 def cohort_delta(summary: DataFrame, cohort: str = "period") -> DataFrame:
-    """One row of headline figures from a by-cohort summary."""
+    """One row of headline figures from a by-cohort summary; none from an empty one."""
 
     def value(label: str, column: str) -> Column:
         return F.max(F.when(F.col(cohort) == label, F.col(column)))
@@ -58,7 +58,8 @@ def cohort_delta(summary: DataFrame, cohort: str = "period") -> DataFrame:
         value(BASELINE, "avg_tip_rate").alias("b_rate"),
         value(HOLIDAY, COUNT).alias("holiday_trips"),
         value(BASELINE, COUNT).alias("baseline_trips"),
-    )
+        F.count("*").alias("n_cohorts"),
+    ).filter(F.col("n_cohorts") > 0)
     return figures.select(
         F.col("h_tip").alias("holiday_avg_tip_amount"),
         (F.col("h_tip") - F.col("b_tip")).alias("tip_amount_delta"),

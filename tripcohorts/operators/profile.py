@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripcohorts.config import PROFILE_STATISTICS
@@ -78,6 +78,22 @@ def extreme_summary(extreme_trips: DataFrame, cohort: str) -> DataFrame:
     return trip_summary(extreme_trips, [cohort], EXTREME_MEANS, count_as=EXTREME_COUNT)
 
 
+def extreme_totals(extreme: Column) -> list[Column]:
+    """The extreme summary's sums and counts over rows that also hold other trips."""
+    columns = [F.count_if(extreme).alias(EXTREME_COUNT)]
+    for mean in EXTREME_MEANS:
+        value = F.when(extreme, F.col(mean.source))
+        columns += [F.sum(value).alias(f"{mean.source}_sum"), F.count(value).alias(f"{mean.source}_n")]
+    return columns
+
+
+def extreme_from_totals(totals: DataFrame, cohort: str) -> DataFrame:
+    means = [
+        F.round(F.try_divide(f"{m.source}_sum", f"{m.source}_n"), m.places).alias(m.alias) for m in EXTREME_MEANS
+    ]
+    return totals.filter(F.col(EXTREME_COUNT) > 0).select(cohort, EXTREME_COUNT, *means)
+
+
 def stages_as_rows(wide: DataFrame, stages: Sequence[str]) -> DataFrame:
     """One-row counters turned into (stage, n_rows) rows in the given order."""
     rows = F.array(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripcohorts.config import NO_BOROUGH_TEXT
-from tripcohorts.operators.compare import cohort_delta, cohort_pivot  # noqa: F401
+from tripcohorts.operators.compare import cohort_pivot
 from tripcohorts.operators.ordering import order_rows
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
@@ -72,10 +71,10 @@ def defects() -> Rules:
     }
 
 
-def defect_counters(also: Iterable[Column] = ()) -> list[Column]:
+def defect_counters() -> list[Column]:
     """Row count and one counter per defect, to be aggregated in a single pass."""
     counters = [F.count_if(condition).alias(name) for name, condition in defects().items()]
-    return [F.count("*").alias("total_rows"), *counters, *also]
+    return [F.count("*").alias("total_rows"), *counters]
 
 
 def count_defects(trips: DataFrame) -> DataFrame:

@@ -114,6 +114,27 @@ def high_tip_trips_by_period(trips: DataFrame, study: DateStudy = DateStudy()) -
     return order_rows(profile.extreme_summary(extreme, study.cohorts.column), study.cohorts.column)
 
 
+def quality_totals(trips: DataFrame, study: DateStudy = DateStudy()) -> DataFrame:
+    """Defect counters and extreme-tip totals per cohort, from a single scan."""
+    extreme = rules.is_extreme(study.thresholds)
+    return (
+        study_trips(trips, study)
+        .groupBy(study.cohorts.column)
+        .agg(*rules.defect_counters(), *profile.extreme_totals(extreme))
+    )
+
+
+def quality_from_totals(totals: DataFrame, study: DateStudy = DateStudy()) -> dict[str, DataFrame]:
+    counters = ["total_rows", *rules.defects()]
+    cohort = study.cohorts.column
+    return {
+        "invalid_record_counts": totals.agg(
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counters]
+        ),
+        "high_tip_trips_by_period": order_rows(profile.extreme_from_totals(totals, cohort), cohort),
+    }
+
+
 def row_funnel(trips: DataFrame, zones: DataFrame, study: DateStudy = DateStudy()) -> DataFrame:
     """Rows left after each stage, from one pass over the study rows.
 
