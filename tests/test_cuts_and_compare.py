@@ -1,0 +1,243 @@
+from __future__ import annotations
+
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+from helpers import explained, trip, trips, values, zones
+from pyspark.sql import functions as F
+
+from tripcohorts.config import BASELINE, HOLIDAY, DateStudy, MonthStudy
+from tripcohorts.operators import compare, reports
+from tripcohorts.operators.cuts import ALL_MEANS, RATE, all_cut_totals, cut_rows, trip_summary, trip_totals
+from tripcohorts.operators.ordering import order_rows, preview, top_rows
+from tripcohorts.plans import date_study, month_study
+from tripcohorts.sources import star
+
+MARCH, DECEMBER = datetime(2025, 3, 10, 8), datetime(2025, 12, 10, 8)
+
+
+def test_mean_of_ratios_rounded_after_averaging(spark):
+    rows = trips(spark, [trip(fare_amount=10.0, tip_amount=1.0), trip(fare_amount=30.0, tip_amount=15.0)])
+    assert [r["avg_tip_rate"] for r in date_study.credit_card_holiday_vs_normal(rows).collect()] == [0.3]
+    summary = month_study.period_summary(rows).first()
+    assert (summary["trip_count"], summary["avg_tip_amount"], summary["avg_tip_rate"]) == (2, 8.0, 0.3)
+
+
+def test_means_skip_null_in_both_forms(spark):
+    frame = spark.createDataFrame([("a", 1.0), ("a", None), ("b", None)], "k string, tip_rate double")
+    plain = trip_summary(frame, ["k"], [RATE])
+    from_totals = trip_summary(trip_totals(frame, ["k"], ["tip_rate"]), ["k"], [RATE], totals=True)
+    assert sorted(values(plain), key=repr) == sorted(values(from_totals), key=repr) == [("a", 2, 1.0), ("b", 1, None)]
+
+
+def test_rows_of_one_cut_keep_null_keys_apart_from_left_out_keys(spark):
+    frame = spark.createDataFrame([("x", None, 1.0), ("x", 5, 3.0)], "a string, b int, tip_rate double")
+    cuts = {"by_a": ("a",), "by_ab": ("a", "b")}
+    shared = all_cut_totals(frame, cuts, ["tip_rate"])
+    assert values(cut_rows(shared, cuts, "by_a").drop("tip_rate_n")) == [("x", 2, 4.0)]
+    assert sorted(values(cut_rows(shared, cuts, "by_ab").drop("tip_rate_n")), key=repr) == [
+        ("x", 5, 1, 3.0),
+        ("x", None, 1, 1.0),
+    ]
+
+
+def test_sort_keys(spark):
+    frame = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 2.0), (None, 2.0)], "k string, v double")
+    assert values(order_rows(frame, "-v", "k")) == [("c", 2.0), (None, 2.0), ("a", 1.0), ("b", None)]
+    assert values(top_rows(frame, 1, "-v", "k")) == [("c", 2.0)]
+    assert preview(frame, 2).count() == 2
+
+
+def stratum(hour, holiday, baseline, rate_h=0.25, rate_b=0.125):
+    at = lambda day: day.replace(hour=hour)
+    return [trip(tpep_pickup_datetime=at(DECEMBER), fare_amount=8.0, tip_amount=8 * rate_h)] * holiday + [
+        trip(tpep_pickup_datetime=at(MARCH), fare_amount=8.0, tip_amount=8 * rate_b)
+    ] * baseline
+
+
+ZONES = [(50, "Queens", "Z")]
+
+
+def controlled(spark, rows, **settings):
+    study = replace(MonthStudy(), control_min_trips=2, **settings)
+    return month_study.controlled_comparison(trips(spark, rows), zones(spark, ZONES), study)
+
+
+def test_strata_need_enough_trips_in_both_cohorts(spark):
+    rows = stratum(5, 2, 2) + stratum(6, 1, 9) + stratum(7, 0, 9) + stratum(8, 2, 2, 0.25, 0.5)
+    assert values(controlled(spark, rows)) == [
+        ("Queens", 8, 2, 2, 0.25, 0.5, -0.25),
+        ("Queens", 5, 2, 2, 0.25, 0.125, 0.125),
+    ]
+
+
+def test_ties_follow_the_strata_and_top_cuts(spark):
+    rows = [r for hour in (9, 3, 6) for r in stratum(hour, 2, 2)]
+    assert [r["pickup_hour"] for r in controlled(spark, rows, control_top=2).collect()] == [3, 6]
+
+
+def test_difference_is_taken_before_rounding(spark):
+    rows = stratum(5, 2, 2, 0.25004, 0.12496)
+    row = controlled(spark, rows).first()
+    assert (row["holiday_tip_rate"], row["baseline_tip_rate"], row["tip_rate_difference"]) == (0.25, 0.125, 0.1251)
+
+
+def test_boroughs_outside_the_list_are_left_out(spark):
+    assert controlled(spark, stratum(5, 2, 2), boroughs=("Bronx",)).count() == 0
+
+
+def test_controlled_plan_has_one_hash_exchange_and_keeps_top_rows_per_task(spark):
+    plan = explained(controlled(spark, stratum(5, 2, 2)))
+    assert plan.count("hashpartitioning") == 1
+    assert "TakeOrderedAndProject" in plan
+
+
+SUMMARY = "period string, trip_count long, avg_tip_amount double, avg_tip_rate double"
+
+
+def test_cohort_delta(spark):
+    table = spark.createDataFrame([(HOLIDAY, 7, 4.5, 0.25), (BASELINE, 9, 4.0, 0.5)], SUMMARY)
+    assert values(compare.cohort_delta(table)) == [(4.5, 0.5, 25.0, -25.0, 7, 9)]
+    assert compare.cohort_delta(spark.createDataFrame([], SUMMARY)).count() == 0
+    alone = compare.cohort_delta(table.filter(F.col("period") == HOLIDAY)).first()
+    assert alone["holiday_trips"] == 7 and alone["tip_amount_delta"] is None
+
+
+def test_borough_pivot_leaves_out_no_borough_but_keeps_unknown(spark):
+    table = spark.createDataFrame(
+        [(HOLIDAY, "Queens", 0.25), (BASELINE, "Queens", 0.125), (HOLIDAY, "N/A", 0.5), (HOLIDAY, None, 0.5), (BASELINE, "Unknown", 0.5)],
+        "period string, pickup_borough string, avg_tip_rate double",
+    )
+    pivot = reports.borough_period_pivot(table)
+    assert pivot.columns == ["pickup_borough", HOLIDAY, BASELINE]
+    assert values(pivot) == [("Queens", 25.0, 12.5), ("Unknown", None, 50.0)]
+
+
+def test_other_report_tables(spark):
+    hours = spark.createDataFrame(
+        [(HOLIDAY, 2, 0.5), (HOLIDAY, 1, 0.25), (BASELINE, 1, 0.125)], "period string, pickup_hour int, avg_tip_rate double"
+    )
+    assert values(reports.hour_curve(hours, HOLIDAY)) == [(1, 25.0), (2, 50.0)]
+    assert values(reports.distinct_sorted(hours, "period")) == [(HOLIDAY,), (BASELINE,)]
+    assert reports.without_label(hours, "period", HOLIDAY).count() == 1
+    assert reports.only_labels(hours, "period", [HOLIDAY]).count() == 2
+    flags = hours.withColumnRenamed("pickup_hour", "airport_trip_flag")
+    assert reports.airport_period_pivot(flags).columns == ["airport_trip_flag", HOLIDAY, BASELINE]
+
+
+# --- properties of the results over the driver tables -------------------------------------
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def star_tables(spark):
+    return star.trips(spark, FOLDER).cache(), star.zones(spark, FOLDER).cache()
+
+
+@pytest.fixture(scope="module")
+def month_results(star_tables):
+    study = replace(star.MONTH_STUDY, control_min_trips=1)
+    return study, month_study.results_from_totals(month_study.shared_totals(*star_tables, study), study)
+
+
+@pytest.fixture(scope="module")
+def date_results(star_tables):
+    study = replace(star.DATE_STUDY, zone_min_trips=2)
+    return study, date_study.results_from_totals(date_study.shared_totals(*star_tables, study), study)
+
+
+def single_cut(module, name, star_tables, study):
+    analysis = {
+        "holiday_vs_baseline": "period_summary",
+        "zone_hour_controlled_comparison": "controlled_comparison",
+    }.get(name, name)
+    run = getattr(module, analysis)
+    needs_zones = "borough" in name or "zone" in name
+    return run(*star_tables, study) if needs_zones else run(star_tables[0], study)
+
+
+@pytest.mark.parametrize("name", list(month_study.CUTS))
+def test_month_results_of_one_scan_equal_single_cuts(star_tables, month_results, name):
+    study, results = month_results
+    expected = single_cut(month_study, name, star_tables, study)
+    assert results[name].columns == expected.columns
+    assert values(results[name]) == values(expected)
+
+
+@pytest.mark.parametrize("name", list(date_study.CUTS))
+def test_date_results_of_one_scan_equal_single_cuts(star_tables, date_results, name):
+    study, results = date_results
+    expected = single_cut(date_study, name, star_tables, study)
+    assert results[name].columns == expected.columns
+    assert values(results[name]) == values(expected)
+
+
+def test_quality_results_of_one_scan_equal_single_ones(star_tables):
+    trips_, study = star_tables[0], star.DATE_STUDY
+    results = date_study.quality_from_totals(date_study.quality_totals(trips_, study), study)
+    assert values(results["invalid_record_counts"]) == values(date_study.invalid_record_counts(trips_, study))
+    assert values(results["high_tip_trips_by_period"]) == values(date_study.high_tip_trips_by_period(trips_, study))
+
+
+def per_cohort(table, cohort, value):
+    return dict(values(table.groupBy(cohort).agg(value)))
+
+
+def test_cuts_add_up_to_their_cohorts(month_results, date_results):
+    count = F.sum("trip_count")
+    _, month = month_results
+    whole = per_cohort(month["holiday_vs_baseline"], "study_period", count)
+    for name in ("airport_direction", "tip_rate_by_hour"):
+        assert per_cohort(month[name], "study_period", count) == whole
+    _, date = date_results
+    whole = per_cohort(date["credit_card_holiday_vs_normal"], "period", count)
+    for name in ("credit_card_tip_rate_by_borough", "credit_card_tip_rate_by_hour", "credit_card_airport_vs_non_airport"):
+        assert per_cohort(date[name], "period", count) == whole
+    zone_totals = per_cohort(date["credit_card_top_zones_by_tip_rate"], "period", count)
+    every = per_cohort(date["all_valid_holiday_vs_normal"], "period", count)
+    for period, total in whole.items():
+        assert zone_totals[period] <= total <= every[period]
+    assert date["credit_card_top_zones_by_tip_rate"].filter("trip_count < 2").count() == 0
+
+
+def test_weighted_means_of_a_cut_give_the_cohort_mean(month_results):
+    _, month = month_results
+    whole = per_cohort(month["holiday_vs_baseline"], "study_period", F.first("avg_tip_rate"))
+    weighted = F.sum(F.col("avg_tip_rate") * F.col("trip_count")) / F.sum("trip_count")
+    for name in ("airport_direction", "tip_rate_by_hour"):
+        for period, mean in per_cohort(month[name], "study_period", weighted).items():
+            assert mean == pytest.approx(whole[period], abs=1e-4)
+
+
+def test_difference_column_is_near_the_difference_of_the_rounded_columns(month_results):
+    _, month = month_results
+    rows = month["zone_hour_controlled_comparison"].collect()
+    assert len(rows) == 20
+    for r in rows:
+        assert r["tip_rate_difference"] == pytest.approx(r["holiday_tip_rate"] - r["baseline_tip_rate"], abs=1.01e-4)
+    differences = [abs(r["tip_rate_difference"]) for r in rows]
+    assert differences == sorted(differences, reverse=True)
+
+
+def test_hour_table_has_a_row_per_hour_and_cohort(month_results):
+    assert month_results[1]["tip_rate_by_hour"].count() == 48
+
+
+def test_means_have_their_places(month_results):
+    for row in month_results[1]["airport_direction"].collect():
+        for mean in ALL_MEANS:
+            assert row[mean.alias] == round(row[mean.alias], mean.places)
+
+
+def test_one_scan_feeds_all_cuts(star_tables, spark):
+    trips_ = star.trips(spark, FOLDER)
+    plan = explained(month_study.shared_totals(trips_, star.zones(spark, FOLDER), star.MONTH_STUDY))
+    assert plan.split("(1)")[0].count("Expand") == 1
+    assert plan.count("lineitem.parquet") == 1
+    assert plan.count("hashpartitioning") == 1
+
+
+def test_date_study_default_settings_are_the_published_ones():
+    assert DateStudy().thresholds == MonthStudy().thresholds
