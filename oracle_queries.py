@@ -171,6 +171,11 @@ SELECT CASE grouping(airport_direction, borough, pickup_hour)
 FROM cohort_trips GROUP BY GROUPING SETS (
   (study_period), (study_period, airport_direction), (study_period, pickup_hour),
   (study_period, borough), (study_period, borough, pickup_hour))""",
+    # labels over all trips
+    "trips_by_month_label": f"""WITH {_TRIPS}
+SELECT coalesce({_COHORT_OF_MONTH}, 'Other') AS study_period, count(*) AS trip_count FROM trips GROUP BY 1""",
+    "trips_by_date_label": f"""WITH {_TRIPS}
+SELECT coalesce({_COHORT_OF_DAY}, 'Outside Study Period') AS period, count(*) AS trip_count FROM trips GROUP BY 1""",
     # raw data quality
     "raw_moments": _MOMENTS,
     "exact_percentiles": _percentiles((0.5, 0.75, 0.9, 0.95, 0.99)),
@@ -191,8 +196,6 @@ UNION ALL SELECT 'credit_card', count(*) FROM joined WHERE pay = 1""",
 SELECT (SELECT count(*) FROM cleaned) AS rows_before, (SELECT count(*) FROM joined) AS rows_after""",
     "repeated_zone_ids": """SELECT CAST(l_partkey % 40 AS BIGINT) AS zone_id, count(*) AS n_rows
 FROM lineitem GROUP BY 1 HAVING count(*) > 1""",
-    "zones": f"""WITH {_ZONES}
-SELECT CAST(id AS BIGINT) AS "PULocationID", borough AS pickup_borough, zone AS pickup_zone FROM zones""",
     "clean_joined_trips": f"""{_DAY}
 SELECT period, CAST(ts AS DATE) AS pickup_date, CAST(month(ts) AS INTEGER) AS pickup_month, pickup_hour,
        CAST(pay AS BIGINT) AS payment_type, fare AS fare_amount, tip AS tip_amount, dist AS trip_distance,

@@ -179,6 +179,22 @@ def test_month_layout_gives_the_same_results(spark, tmp_path):
     assert values(date_study.all_valid_holiday_vs_normal(stored)) == values(date_study.all_valid_holiday_vs_normal(table))
 
 
+def test_a_month_with_most_trips_is_split_over_files(spark, tmp_path):
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    minute = F.expr("timestamp_ntz'2025-12-01 00:00:00' + make_dt_interval(0, 0, cast(id % 44640 as int))")
+    hot = spark.range(0, 200_000, 1, 8).select(minute.alias("tpep_pickup_datetime"), F.col("id").alias("VendorID"))
+    cold = hot.limit(50).withColumn("tpep_pickup_datetime", F.expr("timestamp_ntz'2025-03-01 00:00:00'"))
+    spark.conf.set(advisory, "200k")
+    try:
+        write_monthly(hot.unionByName(cold), str(tmp_path / "hot"))
+    finally:
+        spark.conf.set(advisory, before)
+    assert len(list((tmp_path / "hot" / "trip_month=202512").glob("*.parquet"))) > 3
+    assert len(list((tmp_path / "hot" / "trip_month=202503").glob("*.parquet"))) == 1
+    assert spark.read.parquet(str(tmp_path / "hot")).count() == 200_050
+
+
 def test_jobs_refuse_repeated_zone_ids(spark, tmp_path):
     with pytest.raises(ValueError, match="50"):
         jobs.run_date_study(trips(spark, [trip()]), zones(spark, [(50, "a", "a"), (50, "b", "b")]), str(tmp_path / "x"))

@@ -6,9 +6,14 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# AQE sizes shuffles at run time: start wide, let it merge small partitions. Results are
-# small (groups, not trips), so no fixed partition count would suit both ends.
+# AQE sizes shuffles at run time. On a cluster set spark.sql.shuffle.partitions to a few times
+# the cores: grouped results are merged down from that, exact percentiles and month layouts
+# use all of it. Scans decode few of many columns and aggregate at once, so wide splits are
+# safe and mean fewer partial results to shuffle; the advisory size gives month folders
+# files worth opening.
 SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
