@@ -1,8 +1,10 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from helpers import explained, trip, trips, values
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripcohorts.config import DateStudy, MonthStudy
@@ -42,6 +44,22 @@ def test_windows_of_neighbouring_months_are_joined():
     ]
 
 
+days = st.dates(date(2023, 11, 1), date(2025, 3, 1))
+
+
+@given(st.lists(st.tuples(days, st.integers(1, 80)), max_size=8))
+def test_merged_windows_cover_the_same_days_without_touching(spans):
+    windows = [(start, start + timedelta(days=length)) for start, length in spans]
+    merged = cohorts.merge_windows(windows)
+    assert covered(merged) == covered(windows)
+    assert all(a[1] < b[0] for a, b in zip(merged, merged[1:]))
+    assert cohorts.months_touched(merged) == sorted({d.year * 100 + d.month for d in covered(windows)})
+
+
+def covered(windows):
+    return {start + timedelta(days=i) for start, end in windows for i in range((end - start).days)}
+
+
 def test_months_touched_by_odd_windows():
     assert cohorts.months_touched([(date(2024, 12, 20), date(2025, 2, 1))]) == [202412, 202501]
     assert not cohorts.whole_months([(date(2024, 12, 20), date(2025, 2, 1))])

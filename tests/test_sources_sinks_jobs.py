@@ -103,7 +103,7 @@ def test_one_csv_part_in_order_replaced_on_rewrite(spark, tmp_path):
 
 def test_results_survive_csv(spark, tmp_path):
     schema = RESULT_SCHEMAS["credit_card_tip_rate_by_borough"]
-    rows = [(HOLIDAY, "N/A", 3, 0.01, 0.0007, 5.0), (HOLIDAY, "A, B", 4, 1.5, 0.25, 6.0)]
+    rows = [(HOLIDAY, "N/A", 3, 0.01, 0.0007, 5.0), (HOLIDAY, "A, B", 4, 1.5, 0.25, 6.0), (HOLIDAY, None, 5, 1.5, 0.25, 6.0)]
     write_single_csv(spark.createDataFrame(rows, schema).orderBy("trip_count"), str(tmp_path / "plain"))
     write_single_csv(spark.createDataFrame(rows, schema).orderBy("trip_count"), str(tmp_path / "quoted"), quote_all=True)
     (part,) = (tmp_path / "plain").glob("*.csv")

@@ -65,11 +65,9 @@ def percentiles(
 
 
 def _counted_values(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    entries = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
     return (
-        frame.select(F.inline(entries))
+        frame.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        .unpivot([], list(columns), "column", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count("*").alias("n"))
