@@ -65,11 +65,12 @@ def percentiles(
 
 
 def _counted_values(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (pos, value, n); columns go by position, which is cheaper to group by than a name."""
+    values = F.array(*[F.col(c).cast("double") for c in columns])
     return (
-        frame.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], list(columns), "column", "value")
+        frame.select(F.posexplode(values).alias("pos", "value"))
         .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
+        .groupBy("pos", "value")
         .agg(F.count("*").alias("n"))
     )
 
@@ -114,31 +115,32 @@ def _pick_ranks(counted: DataFrame, columns: Sequence[str], ps: Sequence[float])
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # range bounds are sampled, so the assignment is kept and not computed twice
     ranged = cut_lineage(
-        counted.repartitionByRange(ranges, "column", "value").withColumn("part", F.spark_partition_id())
+        counted.repartitionByRange(ranges, "pos", "value").withColumn("part", F.spark_partition_id())
     )
-    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("pos").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        ranged.groupBy("column", "part")
+        ranged.groupBy("pos", "part")
         .agg(F.sum("n").alias("held"))
         .withColumn("start", F.coalesce(F.sum("held").over(before), F.lit(0)))
-        .withColumn("total", F.sum("held").over(Window.partitionBy("column")))
+        .withColumn("total", F.sum("held").over(Window.partitionBy("pos")))
     )
     wanted = starts.select(
-        *["column", "part", "start", "held", "total"],
+        *["pos", "part", "start", "held", "total"],
         F.explode(F.array(*[F.lit(float(p)) for p in ps])).alias("p"),
     ).withColumn("rank", F.greatest(F.ceil(F.col("total") * F.col("p")), F.lit(1)))
     holds = (F.col("start") < F.col("rank")) & (F.col("rank") <= F.col("start") + F.col("held"))
-    targets = wanted.filter(holds).select("column", "part", "p", "start", "rank")
+    targets = wanted.filter(holds).select("pos", "part", "p", "start", "rank")
 
-    running = Window.partitionBy("column", "p", "part").orderBy("value")
+    running = Window.partitionBy("pos", "p", "part").orderBy("value")
     reached = (
-        ranged.join(F.broadcast(targets), ["column", "part"])
+        ranged.join(F.broadcast(targets), ["pos", "part"])
         .withColumn("upto", F.col("start") + F.sum("n").over(running))
         .filter(F.col("upto") >= F.col("rank"))
-        .groupBy("column", "p")
+        .groupBy("pos", "p")
         .agg(F.min("value").alias("value"))
     )
-    return _every_row(reached, columns, ps)
+    name = F.array(*[F.lit(c) for c in columns])[F.col("pos")]
+    return _every_row(reached.select(name.alias("column"), "p", "value"), columns, ps)
 
 
 def _every_row(found: DataFrame, columns: Sequence[str], ps: Sequence[float]) -> DataFrame:
