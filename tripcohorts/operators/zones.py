@@ -82,21 +82,22 @@ def repeated_zone_ids(zones: DataFrame, key: str = "LocationID") -> DataFrame:
     return zones.groupBy(key).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
-def matches_per_id(dimension: DataFrame) -> DataFrame:
-    return dimension.groupBy(PICKUP_ZONE).agg(F.count("*").alias("n_matches"))
+def with_matches(by_id: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Adds to counts by zone id how many rows the left join makes of each trip of that id.
 
-
-def with_match_count(trips: DataFrame, dimension: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Adds how many rows each trip has after the left join, without multiplying it."""
-    joined = join_zones(trips, matches_per_id(dimension), limit)
+    Joined counts are then products of small numbers: no trip is joined or multiplied.
+    """
+    matches = dimension.groupBy(PICKUP_ZONE).agg(F.count("*").alias("n_matches"))
+    joined = by_id.join(matches, PICKUP_ZONE, "left")
     return joined.withColumn("n_joined", F.coalesce("n_matches", F.lit(1))).drop("n_matches")
 
 
-def join_audit(trips: DataFrame, dimension: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def join_audit(trips: DataFrame, dimension: DataFrame) -> DataFrame:
     """Rows before and after the left join; equal unless an id is repeated."""
-    return with_match_count(trips, dimension, limit).agg(
-        F.count("*").alias("rows_before"),
-        F.coalesce(F.sum("n_joined"), F.lit(0)).alias("rows_after"),
+    by_id = trips.groupBy(PICKUP_ZONE).agg(F.count("*").alias("n_trips"))
+    return with_matches(by_id, dimension).agg(
+        F.coalesce(F.sum("n_trips"), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum(F.col("n_trips") * F.col("n_joined")), F.lit(0)).alias("rows_after"),
     )
 
 

@@ -141,15 +141,21 @@ def row_funnel(trips: DataFrame, zones: DataFrame, study: DateStudy = DateStudy(
     The raw count is its own branch: it needs no column, so Parquet answers it from file
     footers while the other branch keeps its pushed-down filters.
     """
-    selected = select_cohorts(trips, features.PICKUP_TIME, study.cohorts)
-    counted = zone_ops.with_match_count(selected, zone_ops.zone_dimension(zones))
     clean = rules.all_hold(clean_rules(study))
-    card = clean & _is_card(study)
-    later = counted.agg(
-        F.count("*").alias("study_period"),
-        F.count_if(clean).alias("cleaned"),
-        _sum_where(clean, "n_joined").alias("joined"),
-        _sum_where(card, "n_joined").alias("credit_card"),
+    by_id = (
+        select_cohorts(trips, features.PICKUP_TIME, study.cohorts)
+        .groupBy(features.PICKUP_ZONE)
+        .agg(
+            F.count("*").alias("n_study"),
+            F.count_if(clean).alias("n_clean"),
+            F.count_if(clean & _is_card(study)).alias("n_card"),
+        )
+    )
+    later = zone_ops.with_matches(by_id, zone_ops.zone_dimension(zones)).agg(
+        _total(F.col("n_study")).alias("study_period"),
+        _total(F.col("n_clean")).alias("cleaned"),
+        _total(F.col("n_clean") * F.col("n_joined")).alias("joined"),
+        _total(F.col("n_card") * F.col("n_joined")).alias("credit_card"),
     )
     raw = trips.agg(F.count("*").alias("raw"))
     return profile.stages_as_rows(raw, STAGES[:1]).unionByName(profile.stages_as_rows(later, STAGES[1:]))
@@ -216,8 +222,8 @@ def _is_card(study: DateStudy) -> Column:
     return rules.all_hold(rules.card_rule(study.card_payment))
 
 
-def _sum_where(condition: Column, column: str) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
+def _total(count: Column) -> Column:
+    return F.coalesce(F.sum(count), F.lit(0))
 
 
 def _zone_cut(trips: DataFrame, zones: DataFrame, study: DateStudy, name: str) -> DataFrame:
