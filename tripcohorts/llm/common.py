@@ -55,6 +55,7 @@ def map_texts(
     work: Callable[[pa.RecordBatch], dict],
     schema: str,
     column: str | None = "text",
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """`work` on parts of `frame`; it returns columns by name, in the order of `schema`.
 
@@ -63,7 +64,7 @@ def map_texts(
     types = arrow_schema(frame.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, column) if column else batches:
+        for part in slices(batches, column, limit) if column else batches:
             columns = work(part)
             yield pa.RecordBatch.from_arrays(
                 [_array(columns[field.name], field.type) for field in types], schema=types

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripcohorts.llm import bpe, packing
+from tripcohorts.llm import bpe, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,10 +30,15 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_digests(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.apply_rules(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
         "op7_bpe": op7_bpe,
+        "op9_quality": op9_quality,
     }
 
 
