@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripcohorts.llm import bpe, packing, quality
+from tripcohorts.llm import bpe, neardup, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_digests(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -37,6 +41,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
+        "op6_near_duplicates": op6_near_duplicates,
         "op7_bpe": op7_bpe,
         "op9_quality": op9_quality,
     }
