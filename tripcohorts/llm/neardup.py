@@ -282,8 +282,9 @@ def confirmed_links(sets: DataFrame, parts: DataFrame, percent: int) -> DataFram
     central = reached.join(best, "id", "left_semi").select("component").distinct()
     near = reached.join(central, "component", "left_semi").select("id")
     far = split.join(near, "id", "left_anti").withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), "parts"))
-    far = far.select("id", "component", "chunk", "shingles", every).withColumnRenamed("to", "part")
-    here = split.select("id", *key, "shingles").join(far.select(*key, "chunk").distinct(), key)
+    far = written(far.select("id", "component", "chunk", "shingles", every).withColumnRenamed("to", "part"), "far")
+    meetings = far.select([F.col(name).alias(name) for name in (*key, "chunk")]).distinct()
+    here = split.select("id", *key, "shingles").join(meetings, key)
 
     def across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         others = Links(right["id"].to_numpy(), _sets(right), percent)
