@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripcohorts.llm import bpe, neardup, packing, quality
+from tripcohorts.llm import bpe, neardup, packing, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,12 +38,18 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.apply_rules(table(spark, folder, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
         "op6_near_duplicates": op6_near_duplicates,
         "op7_bpe": op7_bpe,
         "op9_quality": op9_quality,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
