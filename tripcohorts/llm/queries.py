@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripcohorts.llm import bpe, neardup, packing, quality, repeats
+from tripcohorts.llm import bpe, fingerprints, neardup, packing, quality, repeats, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,14 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, folder, "documents")))
+
+
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, folder, "documents"))
+
+
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
 
@@ -46,6 +54,8 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
+        "op3_secrets": op3_secrets,
+        "op4_fingerprints": op4_fingerprints,
         "op6_near_duplicates": op6_near_duplicates,
         "op7_bpe": op7_bpe,
         "op9_quality": op9_quality,
