@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripcohorts.llm import bpe, fingerprints, neardup, packing, quality, repeats, secrets
+from tripcohorts.llm import bpe, fingerprints, neardup, packing, quality, repeats, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,18 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    scored = toxicity.score_documents(documents, toxicity.fit(documents, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, folder, "documents")))
 
@@ -54,6 +67,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
+        "op2_toxicity": op2_toxicity,
         "op3_secrets": op3_secrets,
         "op4_fingerprints": op4_fingerprints,
         "op6_near_duplicates": op6_near_duplicates,
