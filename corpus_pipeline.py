@@ -1,11 +1,55 @@
-"""A corpus from raw documents to packed training sequences, stage by stage."""
+"""A corpus from raw documents to packed training sequences, stage by stage.
+
+Every stage takes the documents that the one before kept and returns the same columns; the last
+returns the pieces of the training sequences. Documents without rejected, repeated or secret parts
+come out of the first four stages as they went in. A document is told by its id and text, so repeated
+rows are judged alike, and near-dedup keeps one of them. Null texts are empty texts. An empty table
+stays empty, and columns beside those of documents are carried along.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripcohorts.llm import language, neardup, packing, queries, repeats, secrets
+from tripcohorts.llm.common import text_of, written
+
+
+def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents whose language no evidence makes clear."""
+    told = F.struct("doc_id", F.xxhash64(text_of()).alias("tag")).alias("told")
+    found = language.identify(
+        docs.select(told, "text", "lang", "source"), language.fit(docs), "told", declared="lang", host="source"
+    )
+    rejected = found.filter(~F.col("kept")).select(F.col("told.doc_id").alias("_id"), F.col("told.tag").alias("_tag")).distinct()
+    same = docs["doc_id"].eqNullSafe(rejected["_id"]) & (F.xxhash64(text_of(docs["text"])) == rejected["_tag"])
+    return docs.join(rejected, same, "left_anti")
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links of five-word shingles at 0.8 or more connect."""
+    dropped = neardup.near_duplicates(docs.select("doc_id", "text")).filter(~F.col("kept"))
+    kept = docs.join(dropped.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id") == F.col("_id"), "left_anti")
+    # rows that repeat an id and text; only these are gathered
+    repeated = docs.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id")
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, same, "left_anti").unionByName(once)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without strings of 200 bytes that occur elsewhere; documents with nothing else go."""
+    names = docs.columns
+    cut = repeats.remove_repeats(docs, texts=True)
+    some = cut.filter((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return some.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(*names)
+
 
-from tripcohorts.llm import packing, queries
-from tripcohorts.llm.common import written
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with every secret masked."""
+    return secrets.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +58,10 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language identification", in_known_languages),
+    ("minhash near-dedup", without_near_duplicates),
+    ("suffix-array dedup", without_repeats),
+    ("secret scan", without_secrets),
     ("packing", packed),
 ]
 

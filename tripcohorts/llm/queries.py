@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcohorts.llm import bpe, fingerprints, neardup, packing, quality, repeats, secrets, toxicity
+from tripcohorts.llm import bpe, fingerprints, language, neardup, packing, pages, quality, repeats, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, folder, "documents"))
 
 
+def op5_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.main_text(table(spark, folder, "pages"))
+
+
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
 
@@ -55,6 +59,22 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_digests(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_documents(table(spark, folder, "documents"))
+
+
+def language_of_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for web pages, with the language they declare, their address and their host."""
+    model = language.fit(table(spark, folder, "documents"))
+    found = pages.main_text(table(spark, folder, "pages"))
+    told = table(spark, folder, "pages").select(
+        "page_id", F.nullif(F.regexp_extract("html", r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-z]{2})", 1), F.lit("")).alias("declared")
+    )
+    host = F.nullif(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1), F.lit(""))
+    rows = found.join(told, "page_id").withColumn("host", host)
+    return language.identify(rows, model, "page_id", declared="declared", address="url", host="host")
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.apply_rules(table(spark, folder, "documents"))
 
@@ -70,8 +90,11 @@ def queries() -> dict[str, Query]:
         "op2_toxicity": op2_toxicity,
         "op3_secrets": op3_secrets,
         "op4_fingerprints": op4_fingerprints,
+        "op5_pages": op5_pages,
         "op6_near_duplicates": op6_near_duplicates,
         "op7_bpe": op7_bpe,
+        "op8_language": op8_language,
+        "language_of_pages": language_of_pages,
         "op9_quality": op9_quality,
         "op10_suffix_dedup": op10_suffix_dedup,
     }
