@@ -22,20 +22,22 @@ def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     found = language.identify(
         docs.select(told, "text", "lang", "source"), language.fit(docs), "told", declared="lang", host="source"
     )
-    rejected = found.filter(~F.col("kept")).select(F.col("told.doc_id").alias("_id"), F.col("told.tag").alias("_tag")).distinct()
-    same = docs["doc_id"].eqNullSafe(rejected["_id"]) & (F.xxhash64(text_of(docs["text"])) == rejected["_tag"])
+    rejected = found.filter(~F.col("kept")).select(F.col("told.doc_id").alias("told_id"), F.col("told.tag").alias("told_tag"))
+    same = docs["doc_id"].eqNullSafe(rejected["told_id"]) & (F.xxhash64(text_of(docs["text"])) == rejected["told_tag"])
     return docs.join(rejected, same, "left_anti")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of five-word shingles at 0.8 or more connect."""
     dropped = neardup.near_duplicates(docs.select("doc_id", "text")).filter(~F.col("kept"))
-    kept = docs.join(dropped.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id") == F.col("_id"), "left_anti")
+    dropped = dropped.select(F.col("doc_id").alias("dropped_id")).distinct()
+    kept = docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
     # rows that repeat an id and text; only these are gathered
-    repeated = docs.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id")
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, same, "left_anti").unionByName(once)
+    again = docs.groupBy(docs["doc_id"].alias("again_id")).agg(F.count("*").alias("again")).filter("again > 1")
+    again = again.select("again_id")
+    same = kept["doc_id"].eqNullSafe(again["again_id"])
+    once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, same, "left_anti").unionByName(once)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
