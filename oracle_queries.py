@@ -72,15 +72,22 @@ def _cut(source: str, keys: str, where: str = "TRUE", means=_ALL, having: str =
     )
 
 
-def _month_cut(keys: str, where: str = "TRUE") -> str:
-    return f"{_MONTH} {_cut('cohort_trips', keys, where)} ORDER BY {keys}"
+def _month_cut(keys: str, where: str = "TRUE", order: str = "") -> str:
+    return f"{_MONTH} {_cut('cohort_trips', keys, where)} ORDER BY {order or keys}"
 
 
-def _day_cut(keys: str, where: str = "pay = 1", means=_ALL, having: str = "TRUE") -> str:
-    return f"{_DAY} {_cut('joined', keys, where, means, having)} ORDER BY {keys}"
+def _day_cut(keys: str, where: str = "pay = 1", means=_ALL, having: str = "TRUE", order: str = "") -> str:
+    return f"{_DAY} {_cut('joined', keys, where, means, having)} ORDER BY {order or keys}"
 
 
-def _controlled(strata: str) -> str:
+def _in_place(statement: str) -> str:
+    """The rows of an ordered statement with their place in its order."""
+    rows, order = statement.rsplit(" ORDER BY ", 1)
+    head, select = rows.rsplit("SELECT ", 1)
+    return f"{head} SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM (SELECT {select})"
+
+
+def _controlled(strata: str, least: int = 10) -> str:
     return f"""{_MONTH}, strata AS (
   SELECT {strata},
          count(*) FILTER (study_period = 'Holiday Season') AS holiday_trips,
@@ -90,7 +97,7 @@ def _controlled(strata: str) -> str:
   FROM cohort_trips WHERE borough IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE') GROUP BY {strata})
 SELECT {strata}, holiday_trips, baseline_trips, round(h, 4) AS holiday_tip_rate,
        round(b, 4) AS baseline_tip_rate, round(h - b, 4) AS tip_rate_difference
-FROM strata WHERE least(holiday_trips, baseline_trips) >= 10
+FROM strata WHERE least(holiday_trips, baseline_trips) >= {least}
 ORDER BY abs(h - b) DESC, {strata} LIMIT 20"""
 
 
@@ -101,21 +108,32 @@ def _percentiles(ps: tuple[float, ...]) -> str:
         for name, column in columns.items()
         for p in ps
     ]
-    return _DAY + " UNION ALL ".join(rows)
+    return _DAY + " UNION ALL ".join(rows) + ' ORDER BY "column", p'
 
 
+_PROFILED = (("fare_amount", "fare"), ("tip_amount", "tip"), ("trip_distance", "dist"), ("raw_tip_rate", "rate"))
+
 _MOMENTS = _DAY + " UNION ALL ".join(
     f"SELECT '{name}' AS \"column\", count({c}) AS \"count\", round(avg({c}), 4) AS mean, "
     f"round(stddev_samp({c}), 4) AS stddev, min({c}) AS min, max({c}) AS max FROM study"
-    for name, c in (
-        ("fare_amount", "fare"),
-        ("tip_amount", "tip"),
-        ("trip_distance", "dist"),
-        ("raw_tip_rate", "rate"),
-    )
+    for name, c in _PROFILED
 )
 
 
+_PROFILE = _DAY + " UNION ALL ".join(
+    f"SELECT '{name}' AS \"column\", count({c}) AS \"count\", round(avg({c}), 4) AS mean, "
+    f"round(stddev_samp({c}), 4) AS stddev, min({c}) AS min, max({c}) AS max, quantile_disc({c}, 0.25) AS q25, "
+    f"quantile_disc({c}, 0.5) AS q50, quantile_disc({c}, 0.75) AS q75 FROM study"
+    for name, c in _PROFILED
+) + ' ORDER BY "column"'
+
+_RANKS = _DAY + " UNION ALL ".join(
+    f"SELECT '{name}' AS \"column\", CAST({p} AS DOUBLE) AS p, count({c}) > 0 AS within_error FROM study"
+    for name, c in _PROFILED
+    for p in (0.5, 0.75, 0.9, 0.95, 0.99)
+) + ' ORDER BY "column", p'
+
+
 def _sum_if(condition: str, name: str) -> str:
     return f"count(*) FILTER ({condition}) AS {name}"
 
@@ -153,15 +171,30 @@ FROM summary WHERE {where} GROUP BY {index} ORDER BY {index}"""
 _H = "max({0}) FILTER (period = 'Holiday Season')"
 _B = "max({0}) FILTER (period = 'Normal Baseline')"
 
+_DIRECTION = _month_cut("study_period, airport_direction", order="study_period, trip_count DESC, airport_direction")
+_TOP_ZONES = _day_cut(
+    "period, pickup_borough, pickup_zone",
+    means=("tip", "rate", "fare"),
+    having="count(*) >= 10",
+    order="period, avg_tip_rate DESC, pickup_borough, pickup_zone",
+)
+
 ORACLE: dict[str, str] = {
     # month-set study
     "total_row_count": "SELECT count(*) AS total_rows FROM lineitem",
     "period_summary": _month_cut("study_period"),
-    "airport_direction": _month_cut("study_period, airport_direction"),
+    "airport_direction": _DIRECTION,
+    "airport_direction_in_place": _in_place(_DIRECTION),
     "tip_rate_by_hour": _month_cut("study_period, pickup_hour"),
-    "tip_rate_by_borough": _month_cut("study_period, borough", "borough IS NOT NULL"),
+    "tip_rate_by_borough": _month_cut(
+        "study_period, borough", "borough IS NOT NULL", "study_period, avg_tip_rate DESC, borough"
+    ),
+    "borough_rates_by_sql": f"""{_MONTH}
+SELECT study_period, borough, count(*) AS trip_count, round(avg(rate), 4) AS avg_tip_rate
+FROM cohort_trips WHERE borough IS NOT NULL GROUP BY study_period, borough
+ORDER BY study_period, avg_tip_rate DESC, borough""",
     "controlled_comparison": _controlled("borough, pickup_hour"),
-    "controlled_comparison_by_zone": _controlled("zone, pickup_hour"),
+    "controlled_comparison_by_zone": _controlled("zone, pickup_hour", 2),
     "month_study_shared_scan": f"""{_MONTH}
 SELECT CASE grouping(airport_direction, borough, pickup_hour)
          WHEN 7 THEN 'holiday_vs_baseline' WHEN 3 THEN 'airport_direction' WHEN 6 THEN 'tip_rate_by_hour'
@@ -178,6 +211,8 @@ SELECT coalesce({_COHORT_OF_MONTH}, 'Other') AS study_period, count(*) AS trip_c
 SELECT coalesce({_COHORT_OF_DAY}, 'Outside Study Period') AS period, count(*) AS trip_count FROM trips GROUP BY 1""",
     # raw data quality
     "raw_moments": _MOMENTS,
+    "exact_profile": _PROFILE,
+    "approx_percentile_ranks": _RANKS,
     "exact_percentiles": _percentiles((0.5, 0.75, 0.9, 0.95, 0.99)),
     "tail_percentiles": _percentiles((0.95, 0.99, 0.995, 0.999, 0.9999)),
     "invalid_record_counts": f"{_DAY} SELECT count(*) AS total_rows, {_DEFECTS} FROM study",
@@ -196,6 +231,8 @@ UNION ALL SELECT 'credit_card', count(*) FROM joined WHERE pay = 1""",
 SELECT (SELECT count(*) FROM cleaned) AS rows_before, (SELECT count(*) FROM joined) AS rows_after""",
     "repeated_zone_ids": """SELECT CAST(l_partkey % 40 AS BIGINT) AS zone_id, count(*) AS n_rows
 FROM lineitem GROUP BY 1 HAVING count(*) > 1""",
+    "repeated_lookup_ids": """SELECT CAST(n_nationkey AS BIGINT) AS LocationID, count(*) AS n_rows
+FROM nation GROUP BY 1 HAVING count(*) > 1""",
     "clean_joined_trips": f"""{_DAY}
 SELECT period, CAST(ts AS DATE) AS pickup_date, CAST(month(ts) AS INTEGER) AS pickup_month, pickup_hour,
        CAST(pay AS BIGINT) AS payment_type, fare AS fare_amount, tip AS tip_amount, dist AS trip_distance,
@@ -204,12 +241,13 @@ FROM joined""",
     # date-range study
     "all_valid_holiday_vs_normal": _day_cut("period", "TRUE"),
     "credit_card_holiday_vs_normal": _day_cut("period"),
-    "credit_card_tip_rate_by_borough": _day_cut("period, pickup_borough", means=("tip", "rate", "fare")),
+    "credit_card_tip_rate_by_borough": _day_cut(
+        "period, pickup_borough", means=("tip", "rate", "fare"), order="period, avg_tip_rate DESC, pickup_borough"
+    ),
     "credit_card_tip_rate_by_hour": _day_cut("period, pickup_hour", means=("tip", "rate")),
     "credit_card_airport_vs_non_airport": _day_cut("period, airport_trip_flag"),
-    "credit_card_top_zones_by_tip_rate": _day_cut(
-        "period, pickup_borough, pickup_zone", means=("tip", "rate", "fare"), having="count(*) >= 10"
-    ),
+    "credit_card_top_zones_by_tip_rate": _TOP_ZONES,
+    "credit_card_top_zones_in_place": _in_place(_TOP_ZONES),
     # report tables
     "cohort_delta": _day_report(
         _BY_PERIOD,
@@ -234,9 +272,18 @@ WHERE period = 'Holiday Season' ORDER BY pickup_hour""",
     ),
     "period_list": _day_report(_BY_HOUR, "SELECT DISTINCT period FROM summary ORDER BY period"),
     "direction_without_transfers": _month_cut(
-        "study_period, airport_direction", "airport_direction <> 'Airport-to-Airport'"
+        "study_period, airport_direction",
+        "airport_direction <> 'Airport-to-Airport'",
+        "study_period, trip_count DESC, airport_direction",
     ),
     "real_borough_rates": _month_cut(
-        "study_period, borough", "borough IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')"
+        "study_period, borough",
+        "borough IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')",
+        "study_period, avg_tip_rate DESC, borough",
     ),
 }
+
+#: Statements whose row and column order is part of the result; NULL comes last in every order.
+ORDERED = tuple(
+    name for name, statement in ORACLE.items() if "ORDER BY" in statement and not name.endswith("_in_place")
+)

@@ -11,6 +11,7 @@ import duckdb
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as registered  # noqa: E402
+from oracle_queries import ORACLE, ORDERED  # noqa: E402
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
@@ -27,14 +28,18 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
 
 
 def differences(spark, con, name: str, folder: str) -> str | None:
-    """None when both engines give the same columns, order-free rows and values."""
+    """None when both engines give the same columns and rows, in the same order where one is stated."""
     frame = registered.queries()[name](spark, folder)
     cursor = con.execute(registered.oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
-    expected = rows_of(columns, cursor.fetchall())
-    if sorted(columns) != sorted(frame.columns):
-        return f"columns {sorted(frame.columns)} != {sorted(columns)}"
-    actual = rows_of(frame.columns, [tuple(r) for r in frame.collect()])
+    expected, actual = cursor.fetchall(), [tuple(r) for r in frame.collect()]
+    if name in ORDERED:
+        if columns != frame.columns:
+            return f"columns {frame.columns} != {columns}"
+    else:
+        if sorted(columns) != sorted(frame.columns):
+            return f"columns {sorted(frame.columns)} != {sorted(columns)}"
+        expected, actual = rows_of(columns, expected), rows_of(frame.columns, actual)
     if len(actual) != len(expected):
         return f"{len(actual)} rows != {len(expected)}"
     for a, e in zip(actual, expected):

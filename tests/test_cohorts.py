@@ -95,10 +95,12 @@ def test_month_folders_give_the_same_trips_and_are_pruned(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "monthly"))
     assert stored.count() == frame.count()
     for rule in (MONTHS, DATES):
-        from_folders = cohorts.select_cohorts(stored, PICKUP_TIME, rule).select(PICKUP_TIME, rule.column)
+        in_folders = cohorts.in_month_folders(rule)
+        from_folders = cohorts.select_cohorts(stored, PICKUP_TIME, in_folders).select(PICKUP_TIME, rule.column)
         from_rows = cohorts.select_cohorts(frame, PICKUP_TIME, rule).select(PICKUP_TIME, rule.column)
         assert sorted(values(from_folders)) == sorted(values(from_rows))
-    plan = explained(cohorts.select_cohorts(stored, PICKUP_TIME, DATES).groupBy("period").count())
+    in_folders = cohorts.in_month_folders(DATES)
+    plan = explained(cohorts.select_cohorts(stored, PICKUP_TIME, in_folders).groupBy("period").count())
     assert "PartitionFilters: [trip_month" in plan.replace("isnotnull(trip_month", "trip_month")
     assert "tpep_pickup_datetime" not in plan.split("ReadSchema:")[1].splitlines()[0]
 
@@ -107,7 +109,7 @@ def test_part_of_a_month_still_reads_the_timestamp(spark, tmp_path):
     frame = trips(spark, [trip(tpep_pickup_datetime=datetime(2025, 12, d, 12)) for d in range(1, 32)])
     write_monthly(frame, str(tmp_path / "monthly"))
     stored = spark.read.parquet(str(tmp_path / "monthly"))
-    weeks = cohorts.DateCohorts({"a": (date(2025, 12, 24), date(2025, 12, 26)), "b": (date(2025, 12, 1), date(2025, 12, 7))})
+    weeks = cohorts.DateCohorts({"a": (date(2025, 12, 24), date(2025, 12, 26)), "b": (date(2025, 12, 1), date(2025, 12, 7))}, month_column="trip_month")
     counts = dict(values(cohorts.select_cohorts(stored, PICKUP_TIME, weeks).groupBy("period").count()))
     assert counts == {"a": 3, "b": 7}
 
@@ -116,3 +118,9 @@ def test_calendar_columns(spark):
     frame = add_calendar(trips(spark, [trip(tpep_pickup_datetime=datetime(2025, 12, 31, 23, 59, 59))]))
     assert values(frame.select("pickup_date", "pickup_month", "pickup_hour")) == [(date(2025, 12, 31), 12, 23)]
 
+
+
+def test_a_column_that_happens_to_be_called_so_decides_nothing(spark):
+    frame = trips(spark, [trip(tpep_pickup_datetime=datetime(2025, 12, 5, 12))]).withColumn("trip_month", F.lit(3))
+    for rule in (MONTHS, DATES):
+        assert cohorts.select_cohorts(frame, PICKUP_TIME, rule).count() == 1

@@ -83,9 +83,39 @@ def test_no_rows(spark):
     assert set(as_dict(P.approx_percentiles(empty, ["tail", "hot"], [0.5], 0.01)).values()) == {None}
 
 
-def test_sketches_are_merged_by_group_and_not_in_one_task(table):
-    plan = explained(P.approx_percentiles(table, ["tail", "hot"], [0.5], 0.01))
-    assert "SinglePartition" not in plan.replace("BroadcastExchange", "")
+def test_brackets_narrow_to_what_can_be_ranked(table, sorted_columns, monkeypatch):
+    monkeypatch.setattr(P, "RANKED_TOGETHER", 300)
+    inside = []
+    monkeypatch.setattr(P, "_ranked", lambda frame, wanted, done=P._ranked: inside.append(wanted) or done(frame, wanted))
+    found = as_dict(P.exact_percentiles(table, table.columns, PS))
+    for column, ranked in sorted_columns.items():
+        for p in PS:
+            assert found[column, p] == (ranked[max(ceil(len(ranked) * p), 1) - 1] if ranked else None), (column, p)
+    tails = [b for (column, _), b in inside[0].items() if column == "tail"]
+    assert all(b.inside <= 300 for b in tails)
+
+
+def test_a_bracket_that_misses_its_rank_is_not_used(table, sorted_columns, monkeypatch):
+    monkeypatch.setattr(P, "RANKED_TOGETHER", 300)
+    monkeypatch.setattr(P.Bracket, "narrowed", lambda b, found: P.Bracket(b.column, b.p, -5.0, -4.0, rank=b.rank))
+    found = as_dict(P.exact_percentiles(table, ["tail", "hot"], [0.5, 0.99]))
+    for (column, p), value in found.items():
+        assert value == sorted_columns[column][ceil(20000 * p) - 1]
+
+
+def test_only_what_is_inside_a_bracket_is_shuffled(spark, table, monkeypatch):
+    monkeypatch.setattr(P, "RANKED_TOGETHER", 300)
+    seen = []
+    monkeypatch.setattr(P, "_ranked", lambda frame, wanted: seen.append(wanted) or P._rows(frame, {}))
+    P.exact_percentiles(table, ["tail"], [0.25, 0.75])
+    assert sum(b.inside for b in seen[0].values()) < 0.1 * table.count()
+
+
+def test_the_rank_check_fails_for_a_wrong_value(spark, table):
+    found = P.approx_percentiles(table, ["tail", "half"], [0.5, 0.9], 0.01)
+    assert all(r["within_error"] for r in P.rank_check(table, found, ["tail", "half"], 0.01).collect())
+    off = found.withColumn("value", F.col("value") * 1.1)
+    assert not any(r["within_error"] for r in P.rank_check(table, off, ["tail", "half"], 0.01).collect())
 
 
 def study_rows(spark):
@@ -98,7 +128,25 @@ def test_profile_has_the_shape_and_values_of_summary(spark):
     ours = date_study.raw_profile(study_rows(spark))
     builtin = rows.select(*PROFILE_COLUMNS).summary(*ours.select("summary").toPandas()["summary"])
     assert ours.columns == ["summary", *PROFILE_COLUMNS]
-    assert values(ours) == values(builtin)
+    for a, b in zip(values(ours), values(builtin), strict=True):
+        assert a[0] == b[0] and [pytest.approx(float(x)) for x in a[1:]] == [float(x) for x in b[1:]]
+
+
+def test_profile_reads_the_trips_once(spark, table):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    ours = profile.describe(table.mapInArrow(counted, table.schema), ["tail", "hot", "half"]).collect()
+    assert seen.value == 20000
+    wanted = table.select("tail", "hot", "half").summary("mean", "stddev", "50%").collect()
+    rows = {r["summary"]: r for r in ours}
+    for row in wanted:
+        for c in ("tail", "hot", "half"):
+            assert float(rows[row["summary"]][c]) == pytest.approx(float(row[c]), rel=0.005)
 
 
 def test_profile_counts_only_known_ratios(spark):

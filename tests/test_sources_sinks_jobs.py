@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 from pathlib import Path
 
@@ -8,7 +9,8 @@ from helpers import explained, trip, trips, values, zones
 from pyspark.sql import functions as F
 
 from tripcohorts import session
-from tripcohorts.config import HOLIDAY
+from tripcohorts.config import HOLIDAY, DateStudy, MonthStudy
+from tripcohorts.functions.cohorts import in_month_folders
 from tripcohorts.plans import date_study, jobs, month_study, reports
 from tripcohorts.schemas import RESULT_SCHEMAS, TRIP_SCHEMA, ZONE_SCHEMA
 from tripcohorts.sinks.monthly import write_monthly
@@ -41,7 +43,17 @@ def month_files(spark, folder: Path) -> None:
 def test_many_files_are_one_table(spark, tmp_path):
     month_files(spark, tmp_path)
     table = read_trips(spark, str(tmp_path / "trips_*.parquet"))
-    assert table.count() == 18 and schema_problems(table, TRIP_SCHEMA) == []
+    assert table.count() == 18 and table.schema == TRIP_SCHEMA
+
+
+@pytest.mark.parametrize("change", ["drop", "retype"])
+def test_a_file_without_a_used_column_is_refused(spark, tmp_path, change):
+    month_files(spark, tmp_path)
+    good = spark.read.parquet(str(tmp_path / "trips_2025-03.parquet"))
+    bad = good.drop("tip_amount") if change == "drop" else good.withColumn("tip_amount", F.lit("1"))
+    bad.write.parquet(str(tmp_path / "trips_2025-04.parquet"))
+    with pytest.raises(ValueError, match="trips_2025-04.*tip_amount"):
+        read_trips(spark, str(tmp_path / "trips_*.parquet"))
 
 
 def test_files_may_differ_in_columns_that_are_not_read(spark, tmp_path):
@@ -64,6 +76,15 @@ def test_zone_lookup_types_quotes_and_na(spark, lookup_folder):
     assert sorted(values(inferred)) == sorted(values(table))
 
 
+def test_zone_lookup_goes_by_header_names(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text('"service_zone","Zone","LocationID","Borough"\n"EWR","Newark Airport","1","Newark"\n')
+    assert values(read_zones(spark, str(path))) == [(1, "Newark", "Newark Airport", "EWR")]
+    path.write_text('"LocationID","Zone","service_zone"\n"1","a","b"\n')
+    with pytest.raises(ValueError, match="Borough"):
+        read_zones(spark, str(path))
+
+
 def test_schema_problems(spark):
     frame = trips(spark, []).withColumn("fare_amount", F.lit("x")).drop("tip_amount").withColumnRenamed("VendorID", "vendorid")
     assert schema_problems(frame, TRIP_SCHEMA) == [
@@ -175,8 +196,12 @@ def test_month_layout_gives_the_same_results(spark, tmp_path):
     write_monthly(table, str(tmp_path / "monthly"))
     stored = read_trips(spark, str(tmp_path / "monthly"))
     assert "trip_month" in stored.columns
-    assert values(month_study.tip_rate_by_hour(stored)) == values(month_study.tip_rate_by_hour(table))
-    assert values(date_study.all_valid_holiday_vs_normal(stored)) == values(date_study.all_valid_holiday_vs_normal(table))
+    for study, analysis in (
+        (MonthStudy(), month_study.tip_rate_by_hour),
+        (DateStudy(), date_study.all_valid_holiday_vs_normal),
+    ):
+        in_folders = replace(study, cohorts=in_month_folders(study.cohorts))
+        assert values(analysis(stored, in_folders)) == values(analysis(table, study)) == values(analysis(stored, study))
 
 
 def test_a_month_with_most_trips_is_split_over_files(spark, tmp_path):
@@ -220,3 +245,32 @@ def test_lineage_is_cut_in_the_configured_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         assert configured.rstrip("/") in spark.sparkContext.getCheckpointDir()
+
+
+def test_month_layout_does_not_replace_its_input(spark, tmp_path):
+    month_files(spark, tmp_path / "in")
+    table = spark.read.parquet(str(tmp_path / "in" / "*.parquet"))
+    for out in (tmp_path / "in", tmp_path, tmp_path / "in" / "trips_2025-03.parquet"):
+        with pytest.raises(ValueError, match="input"):
+            write_monthly(table, str(out))
+    assert table.count() == 18
+
+
+def test_date_job_scans_the_trips_four_times(spark, tmp_path, lookup_folder):
+    month_files(spark, tmp_path)
+    table, lookup = read_trips(spark, str(tmp_path / "trips_*.parquet")), read_zones(spark, lookup_folder)
+    context, seen = spark.sparkContext, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    jobs.run_date_study(table.mapInArrow(counted, table.schema), lookup, str(tmp_path / "results"))
+    assert context is spark.sparkContext and seen.value <= 3 * 18
+
+
+def test_previews_say_what_they_leave_out(spark, capsys):
+    jobs.show({"long": spark.range(jobs.PREVIEW_ROWS + 5), "short": spark.range(3)})
+    printed = capsys.readouterr().out
+    assert "5 more rows" in printed and printed.count("more rows") == 1

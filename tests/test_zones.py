@@ -25,13 +25,6 @@ def many(spark):
     return trips(spark, rows).repartition(5)
 
 
-def test_small_lookup_is_broadcast_and_a_large_one_is_not(many, lookup):
-    size = zone_ops.measured_bytes(lookup)
-    assert zone_ops.fits_broadcast(lookup, size) and not zone_ops.fits_broadcast(lookup, size - 1)
-    assert "BroadcastHashJoin LeftOuter" in explained(zone_ops.join_zones(many, lookup))
-    assert "SortMergeJoin LeftOuter" in explained(zone_ops.join_zones(many, lookup, limit=0))
-
-
 def test_empty_lookup_keeps_all_trips(spark, many):
     none = zone_ops.zone_dimension(zones(spark, []))
     joined = zone_ops.join_zones(many, none)
@@ -39,34 +32,37 @@ def test_empty_lookup_keeps_all_trips(spark, many):
     assert joined.filter("pickup_zone is not null").count() == 0
 
 
-def test_salted_join_gives_the_same_rows(many, lookup):
-    columns = ["PULocationID", "tip_amount", "pickup_borough", "pickup_zone"]
-    plain = zone_ops.join_zones(many, lookup).select(*columns)
-    salted = zone_ops.join_zones(many, lookup, limit=0).select(*columns)
-    assert sorted(values(plain), key=repr) == sorted(values(salted), key=repr)
-    assert salted.count() == many.count()
+def test_grouping_after_the_join_equals_grouping_by_id_first(many, lookup):
+    keys = ["pickup_borough", "pickup_zone"]
+    rated = many.withColumn("tip_rate", F.col("tip_amount") / F.col("fare_amount"))
+    totals = zone_ops.zone_totals(rated, lookup, [])
+    expected = trip_summary(zone_ops.join_zones(rated, lookup), keys)
+    assert sorted(values(trip_summary(totals, keys, totals=True)), key=repr) == sorted(values(expected), key=repr)
 
 
-def test_salted_join_spreads_copies_of_one_trip(spark, lookup):
-    copies = trips(spark, [trip()] * 6000).coalesce(2)
-    joined = zone_ops.join_zones(copies, lookup, limit=0)
-    with_aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n")).collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_aqe)
-    assert sum(sizes) == 6000 and max(sizes) < 3000
+def test_no_job_runs_while_a_query_is_built(spark, many):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "queries with zones")
+    table = zones(spark, LOOKUP)
+    month_study.tip_rate_by_borough(many, table)
+    month_study.shared_totals(many, table)
+    date_study.shared_totals(many, table)
+    date_study.joined_trips(many, table)
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("tests", "tests")
 
 
-@pytest.mark.parametrize("limit", [zone_ops.BROADCAST_BYTES, 0])
-def test_grouping_after_the_join_equals_grouping_by_id_first(many, lookup, limit):
-    keys = ["pickup_borough", "pickup_zone"]
-    rated = many.withColumn("tip_rate", F.col("tip_amount") / F.col("fare_amount"))
-    rows, totals = zone_ops.zone_rows(rated, lookup, [], limit=limit)
-    assert totals == (limit == 0)
-    expected = trip_summary(zone_ops.join_zones(rated, lookup), keys)
-    assert sorted(values(trip_summary(rows, keys, totals=totals)), key=repr) == sorted(values(expected), key=repr)
+def test_trips_are_scanned_once_and_copied_never(spark, many, tmp_path):
+    many.write.parquet(str(tmp_path / "trips"))
+    stored = spark.read.parquet(str(tmp_path / "trips"))
+    for study in (month_study, date_study):
+        plan = stored.sparkSession._jvm.PythonSQLUtils.explainString(
+            study.shared_totals(stored, zones(spark, LOOKUP))._jdf.queryExecution(), "simple"
+        )
+        plan = plan.split("== Initial Plan ==")[0]
+        assert plan.count("FileScan parquet") == 1
+        below = plan[plan.index("Expand") :]
+        assert "HashAggregate" in below and below.index("HashAggregate") < below.index("FileScan")
 
 
 def test_unmatched_trips_are_a_group_only_in_the_date_study(spark, many):
@@ -79,7 +75,7 @@ def test_unmatched_trips_are_a_group_only_in_the_date_study(spark, many):
 
 def test_borough_filter_turns_the_join_inner(spark, many):
     plan = explained(month_study.tip_rate_by_borough(many, zones(spark, LOOKUP)))
-    assert "BroadcastHashJoin Inner" in plan
+    assert "Inner" in plan and "LeftOuter" not in plan
 
 
 def test_repeated_ids_are_found_and_audited(spark, many):

@@ -2,14 +2,15 @@
 
 The windows matter at scale. ``month(ts)`` decodes every timestamp into a calendar date; a
 union of half-open ranges on the raw timestamp is plain number comparison that also reaches
-the Parquet scan. Tables laid out by month (see ``sinks.monthly``) need neither: windows of
-whole months are folder names there, and the timestamp is not read at all.
+the Parquet scan. Tables laid out by month (see ``sinks.monthly``) need neither, if the cohorts
+say so (``in_month_folders``): windows of whole months are folder names there, and the timestamp
+is not read at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 from functools import reduce
 from operator import or_
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 Window = tuple[date, date]  # start inclusive, end exclusive
 
-MONTH_PARTITION = "trip_month"  # yyyymm, present in month-partitioned trip tables
+MONTH_PARTITION = "trip_month"  # yyyymm, the folders of trip tables laid out by month
 
 
 def merge_windows(windows: Iterable[Window]) -> list[Window]:
@@ -62,11 +63,11 @@ def whole_months(windows: Iterable[Window]) -> bool:
     return all(start.day == 1 and end.day == 1 for start, end in windows)
 
 
-def member(trips: DataFrame, column: str, windows: list[Window]) -> Column:
-    """In-window test by the cheapest means the table offers."""
-    if MONTH_PARTITION not in trips.columns:
+def member(column: str, windows: list[Window], month_column: str | None = None) -> Column:
+    """In-window test, on the yyyymm column where there is one for the same timestamp."""
+    if month_column is None:
         return in_windows(column, windows)
-    in_months = F.col(MONTH_PARTITION).isin(*months_touched(windows))
+    in_months = F.col(month_column).isin(*months_touched(windows))
     return in_months if whole_months(windows) else in_months & in_windows(column, windows)
 
 
@@ -82,6 +83,7 @@ class MonthCohorts:
     years: tuple[int, ...]
     column: str = "study_period"
     other: str = "Other"
+    month_column: str | None = None
 
     @property
     def labels(self) -> tuple[str, ...]:
@@ -103,6 +105,7 @@ class DateCohorts:
     ranges: Mapping[str, tuple[date, date]]
     column: str = "period"
     other: str = "Outside Study Period"
+    month_column: str | None = None
 
     @property
     def labels(self) -> tuple[str, ...]:
@@ -123,6 +126,11 @@ class DateCohorts:
 Cohorts = MonthCohorts | DateCohorts
 
 
+def in_month_folders(cohorts: Cohorts) -> Cohorts:
+    """The same cohorts, for a table that ``sinks.monthly`` laid out."""
+    return replace(cohorts, month_column=MONTH_PARTITION)
+
+
 def all_windows(cohorts: Cohorts) -> list[Window]:
     return merge_windows(window for label in cohorts.labels for window in cohorts.windows(label))
 
@@ -134,9 +142,10 @@ def select_cohorts(trips: DataFrame, timestamp: str, cohorts: Cohorts) -> DataFr
     not in an earlier label's belongs to the last label.
     """
     *earlier, last = cohorts.labels
-    branches = [(member(trips, timestamp, cohorts.windows(label)), label) for label in earlier]
+    month = cohorts.month_column
+    branches = [(member(timestamp, cohorts.windows(label), month), label) for label in earlier]
     label = _cases(branches, last) if branches else F.lit(last)
-    kept = trips.filter(member(trips, timestamp, all_windows(cohorts)))
+    kept = trips.filter(member(timestamp, all_windows(cohorts), month))
     return kept.withColumn(cohorts.column, label)
 
 

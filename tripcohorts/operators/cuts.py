@@ -69,19 +69,15 @@ def trip_totals(rows: DataFrame, keys: Sequence[str], sources: Sequence[str] = S
 
 
 def all_cut_totals(
-    rows: DataFrame,
-    cuts: Mapping[str, Sequence[str]],
-    sources: Sequence[str] = SOURCES,
-    totals: bool = False,
+    totals: DataFrame, cuts: Mapping[str, Sequence[str]], sources: Sequence[str] = SOURCES
 ) -> DataFrame:
-    """Totals of several cuts from one scan, with the cut's name in column ``cut``.
+    """Totals of several cuts out of finer totals, with the cut's name in column ``cut``.
 
-    GROUPING SETS: each task brings its rows down to the groups of all cuts before the one
-    shuffle, so what moves is (number of groups) rows per task whatever the trips are.
+    GROUPING SETS copy each row once for each cut, so they work on totals and never on trips.
     """
     keys = list(dict.fromkeys(key for cut in cuts.values() for key in cut))
-    grouped = rows.groupingSets([[F.col(k) for k in cut] for cut in cuts.values()], *keys).agg(
-        F.grouping_id().alias("_grouping"), *total_columns(sources, totals)
+    grouped = totals.groupingSets([[F.col(k) for k in cut] for cut in cuts.values()], *keys).agg(
+        F.grouping_id().alias("_grouping"), *total_columns(sources, totals=True)
     )
     named = F.coalesce(
         *[F.when(F.col("_grouping") == _grouping_id(cut, keys), name) for name, cut in cuts.items()]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,3 +25,9 @@ def top_rows(frame: DataFrame, k: int, *names: str) -> DataFrame:
 def preview(frame: DataFrame, rows: int = 20) -> DataFrame:
     """A bounded look at a result, in its own order."""
     return frame.limit(rows)
+
+
+def with_place(frame: DataFrame, *names: str) -> DataFrame:
+    """Rows of a grouped result with their place in that order, from 1."""
+    place = F.row_number().over(Window.orderBy(*[sort_key(name) for name in names]))
+    return frame.withColumn("place", place)

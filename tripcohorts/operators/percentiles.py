@@ -1,22 +1,78 @@
 """Percentiles of several columns at once, approximate or exact.
 
-Both kinds reduce the trips to weighted values and pick the value at a rank. Approximate ones
-keep a fixed number of values per group of tasks, so what is left is bounded whatever the
-trips are. Exact ones keep every distinct value, so ranks are found range by range. Neither
-merges all tasks' sketches, or holds a whole column, in one task.
+Approximate ones come from sketches that are merged group by group, so that no task merges
+those of all tasks. Exact ones narrow the search instead of sorting: the sketches give a
+bracket around each wanted rank, a scan counts what lies below and inside, and brackets narrow
+until what is inside can be ranked. Only that is ever shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
+from dataclasses import dataclass
+from math import ceil, inf
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tripcohorts.session import cut_lineage
+#: Groups of input partitions whose sketches are merged apart, quantiles kept of each.
+SKETCH_GROUPS, GRID = 64, 400
 
-SKETCH_GROUPS = 512
+#: Rows inside a bracket that are ranked together; more are narrowed by another scan.
+RANKED_TOGETHER = 200_000
+
+
+@dataclass
+class Sketch:
+    """Quantiles of a column at a grid, for each group, and how many values stand behind each."""
+
+    values: np.ndarray
+    weights: np.ndarray
+    counts: list[int]
+
+    def at(self, p: float) -> float | None:
+        """The value whose share of the rows at or below first reaches p."""
+        if not len(self.values):
+            return None
+        upto = np.cumsum(self.weights)
+        place = np.searchsorted(upto, upto[-1] * p * (1 - 1e-12))
+        return float(self.values[min(place, len(upto) - 1)])
+
+
+def sketch(
+    frame: DataFrame,
+    columns: dict[str, Column],
+    grid: int,
+    accuracy: int,
+    more: dict[str, Column] | None = None,
+) -> tuple[dict[str, Sketch], list[Row]]:
+    """A sketch of each column, and the rows of all groups with ``more`` aggregates, from one scan.
+
+    At most SKETCH_GROUPS * grid values of each column reach the driver.
+    """
+    # one text literal: thousands of array elements would bloat the plan
+    points = F.split(F.lit(",".join(str((i + 0.5) / grid) for i in range(grid))), ",").cast("array<double>")
+    named = {f"_c{i}": column.cast("double") for i, column in enumerate(columns.values())}
+    rows = (
+        frame.withColumns(named)
+        .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
+        .agg(
+            *[F.percentile_approx(name, points, accuracy).alias(name) for name in named],
+            *[F.count(name).alias(f"{name}_n") for name in named],
+            *[aggregate.alias(name) for name, aggregate in (more or {}).items()],
+        )
+        .collect()
+    )
+    result = {}
+    for name, column in zip(named, columns, strict=True):
+        parts = [row for row in rows if row[f"{name}_n"]]
+        counts = [row[f"{name}_n"] for row in parts]
+        values = np.concatenate([np.array(row[name], float) for row in parts]) if parts else np.zeros(0)
+        weights = np.repeat(np.array(counts) / grid, grid)
+        order = np.argsort(values, kind="stable")
+        result[column] = Sketch(values[order], weights[order], counts)
+    return result, rows
 
 
 def approx_percentiles(
@@ -24,35 +80,103 @@ def approx_percentiles(
 ) -> DataFrame:
     """Rows (column, p, value); the value's rank is within ``relative_error`` of p.
 
-    An upper-tail percentile needs an error well below 1 - p, or the maximum is a valid
-    answer. At most SKETCH_GROUPS / relative_error values per column are ranked.
+    The sketches take half of the allowed error and the spacing of the grid the other half. An
+    upper-tail percentile needs an error well below 1 - p, or the maximum is a valid answer.
     """
-    by_value = Window.partitionBy("column").orderBy("value")
-    running = _sketched_values(frame, columns, relative_error).select(
-        "column",
-        "value",
-        F.sum("share").over(by_value.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        F.sum("share").over(Window.partitionBy("column")).alias("total"),
-    )
-    # shares are fractions: leave room for their rounding when comparing with a whole rank
-    reached = [
-        F.coalesce(
-            F.min(F.when(F.col("upto") >= F.col("total") * (p * (1 - 1e-12)), F.col("value"))), F.max("value")
-        )
-        for p in ps
-    ]
-    picked = running.groupBy("column").agg(F.array(*reached).alias("values"))
-    rows = [F.struct(F.lit(float(p)).alias("p"), F.col("values")[i].alias("value")) for i, p in enumerate(ps)]
-    return _every_row(picked.select("column", F.inline(F.array(*rows))), columns, ps)
+    found, _ = sketch(frame, {c: F.col(c) for c in columns}, ceil(1 / relative_error), ceil(2 / relative_error))
+    return _rows(frame, {(c, p): found[c].at(p) for c in columns for p in ps})
+
+
+@dataclass
+class Bracket:
+    """Where a wanted rank lies: between two values, with so many rows below and inside."""
+
+    column: str
+    p: float
+    low: float = -inf
+    high: float = inf
+    below: int = 0
+    inside: int = 0
+    rank: int = 0
+
+    def holds(self) -> Column:
+        value = F.col(self.column).cast("double")
+        return (value >= self.low) & (value <= self.high)
+
+    def narrowed(self, found: Sketch) -> Bracket:
+        """Around the rank by a sketch of what is inside, with room for its error."""
+        share, room = (self.rank - self.below) / self.inside, 4 / GRID
+        low = found.at(share - room) if share > room else self.low
+        high = found.at(share + room) if share < 1 - room else self.high
+        return Bracket(self.column, self.p, low, high, rank=self.rank)
 
 
 def exact_percentiles(frame: DataFrame, columns: Sequence[str], ps: Sequence[float]) -> DataFrame:
     """Rows (column, p, value): the smallest value at or above a share p of the non-NULL rows.
 
-    One scan of the trips. Copies of a value are totalled before the shuffle, so amounts in
-    cents come down to few rows and a value held by a third of all trips is one row.
+    A bracket that misses its rank is dropped for the wider one before, so the sketches' error
+    costs a scan at worst and never the result.
     """
-    return _pick_ranks(_counted_values(frame, columns), columns, ps)
+    counts = frame.agg(*[F.count(c) for c in columns]).first()
+    wanted = {}
+    for column, total in zip(columns, counts, strict=True):
+        for p in ps:
+            rank = max(1, ceil(total * p))
+            wanted[column, p] = Bracket(column, p, inside=total, rank=rank) if total else None
+    open_ones = [key for key, b in wanted.items() if b and b.inside > RANKED_TOGETHER]
+    while open_ones:
+        brackets = [wanted[key] for key in open_ones]
+        found, _ = sketch(
+            frame, {str(i): F.when(b.holds(), F.col(b.column)) for i, b in enumerate(brackets)}, GRID, 5 * GRID
+        )
+        tried = [b.narrowed(found[str(i)]) for i, b in enumerate(brackets)]
+        counted = _counted(frame, tried)
+        open_ones = []
+        for before, after in zip(brackets, counted, strict=True):
+            if after.below < after.rank <= after.below + after.inside:
+                wanted[after.column, after.p] = after
+            else:
+                after = before
+            smaller = after.inside < before.inside
+            if after.inside > RANKED_TOGETHER and after.low < after.high and smaller:
+                open_ones.append((after.column, after.p))
+    return _ranked(frame, wanted)
+
+
+def _counted(frame: DataFrame, brackets: Sequence[Bracket]) -> list[Bracket]:
+    """The brackets with the rows below and inside them, from one scan."""
+    counters = []
+    for b in brackets:
+        counters += [F.count_if(F.col(b.column).cast("double") < b.low), F.count_if(b.holds())]
+    found = frame.agg(*counters).first()
+    return [
+        Bracket(b.column, b.p, b.low, b.high, found[2 * i], found[2 * i + 1], b.rank) for i, b in enumerate(brackets)
+    ]
+
+
+def _ranked(frame: DataFrame, wanted: dict[tuple[str, float], Bracket | None]) -> DataFrame:
+    """The value at each rank among those inside its bracket; copies of a value are one row."""
+    values: dict[tuple[str, float], float | None] = {key: None for key in wanted}
+    known = {key: b for key, b in wanted.items() if b}
+    values |= {key: b.low for key, b in known.items() if b.low == b.high}
+    rest = [b for b in known.values() if b.low < b.high]
+    if rest:
+        each = [
+            F.struct(F.lit(i).alias("target"), F.when(b.holds(), F.col(b.column).cast("double")).alias("value"))
+            for i, b in enumerate(rest)
+        ]
+        inside = (
+            frame.select(F.inline(F.array(*each)))
+            .filter(F.col("value").isNotNull())
+            .groupBy("target", "value")
+            .agg(F.count("*").alias("n"))
+        )
+        running = F.sum("n").over(Window.partitionBy("target").orderBy("value"))
+        rank = F.array(*[F.lit(b.rank - b.below) for b in rest])[F.col("target")]
+        reached = inside.withColumn("upto", running).filter(F.col("upto") >= rank)
+        for row in reached.groupBy("target").agg(F.min("value").alias("value")).collect():
+            values[rest[row["target"]].column, rest[row["target"]].p] = row["value"]
+    return _rows(frame, values)
 
 
 def percentiles(
@@ -64,88 +188,28 @@ def percentiles(
     return approx_percentiles(frame, columns, ps, relative_error)
 
 
-def _counted_values(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (pos, value, n); columns go by position, which is cheaper to group by than a name."""
-    values = F.array(*[F.col(c).cast("double") for c in columns])
-    return (
-        frame.select(F.posexplode(values).alias("pos", "value"))
-        .filter(F.col("value").isNotNull())
-        .groupBy("pos", "value")
-        .agg(F.count("*").alias("n"))
-    )
-
-
-def _sketched_values(frame: DataFrame, columns: Sequence[str], relative_error: float) -> DataFrame:
-    """A grid of quantiles per group of input partitions, each standing for an equal share.
+def rank_check(frame: DataFrame, found: DataFrame, columns: Sequence[str], relative_error: float) -> DataFrame:
+    """column, p, and whether the rank of each found value is within the error of p, give or take a row.
 
-    Every task sends one sketch, and its group's task merges only that group's sketches. The
-    sketches take half of the allowed error and the spacing of the grid the other half.
+    Counts the rows below and up to each value: one scan, whatever the number of values.
     """
-    points, accuracy = ceil(1 / relative_error), ceil(2 / relative_error)
-    # one text literal: thousands of array elements would bloat the plan
-    grid = F.split(F.lit(",".join(str((i + 0.5) / points) for i in range(points))), ",")
-    sketches = frame.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part")).agg(
-        *[F.percentile_approx(c, grid.cast("array<double>"), accuracy).alias(c) for c in columns],
-        *[F.count(c).alias(f"{c}_n") for c in columns],
-    )
-    groups = sketches.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.col(c).cast("array<double>").alias("values"),
-                        (F.col(f"{c}_n") / points).alias("share"),
-                    )
-                    for c in columns
-                ]
-            )
+    rows = found.collect()  # columns * ps rows
+    counters = [F.count(c).alias(f"n_{c}") for c in columns]
+    for i, r in enumerate(rows):
+        value = F.col(r["column"]).cast("double")
+        counters += [F.count_if(value < r["value"]).alias(f"below_{i}"), F.count_if(value <= r["value"]).alias(f"upto_{i}")]
+    counts = frame.agg(*counters)
+    checks = []
+    for i, r in enumerate(rows):
+        total = F.col(f"n_{r['column']}")
+        near = (F.col(f"below_{i}") <= total * (r["p"] + relative_error) + 1) & (
+            F.col(f"upto_{i}") >= total * (r["p"] - relative_error) - 1
         )
-    )
-    return groups.select("column", F.explode("values").alias("value"), "share")
-
+        checks.append(F.struct(F.lit(r["column"]).alias("column"), F.lit(r["p"]).alias("p"), near.alias("within_error")))
+    return counts.select(F.inline(F.array(*checks)))
 
-def _pick_ranks(counted: DataFrame, columns: Sequence[str], ps: Sequence[float]) -> DataFrame:
-    """The first value whose running count reaches p of the column's count.
 
-    Values are range-partitioned, so running counts need only the totals of the ranges
-    before: those are one row per range. Only ranges that hold a wanted rank are sorted.
-    """
-    spark = counted.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # range bounds are sampled, so the assignment is kept and not computed twice
-    ranged = cut_lineage(
-        counted.repartitionByRange(ranges, "pos", "value").withColumn("part", F.spark_partition_id())
-    )
-    before = Window.partitionBy("pos").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ranged.groupBy("pos", "part")
-        .agg(F.sum("n").alias("held"))
-        .withColumn("start", F.coalesce(F.sum("held").over(before), F.lit(0)))
-        .withColumn("total", F.sum("held").over(Window.partitionBy("pos")))
-    )
-    wanted = starts.select(
-        *["pos", "part", "start", "held", "total"],
-        F.explode(F.array(*[F.lit(float(p)) for p in ps])).alias("p"),
-    ).withColumn("rank", F.greatest(F.ceil(F.col("total") * F.col("p")), F.lit(1)))
-    holds = (F.col("start") < F.col("rank")) & (F.col("rank") <= F.col("start") + F.col("held"))
-    targets = wanted.filter(holds).select("pos", "part", "p", "start", "rank")
-
-    running = Window.partitionBy("pos", "p", "part").orderBy("value")
-    reached = (
-        ranged.join(F.broadcast(targets), ["pos", "part"])
-        .withColumn("upto", F.col("start") + F.sum("n").over(running))
-        .filter(F.col("upto") >= F.col("rank"))
-        .groupBy("pos", "p")
-        .agg(F.min("value").alias("value"))
-    )
-    name = F.array(*[F.lit(c) for c in columns])[F.col("pos")]
-    return _every_row(reached.select(name.alias("column"), "p", "value"), columns, ps)
-
-
-def _every_row(found: DataFrame, columns: Sequence[str], ps: Sequence[float]) -> DataFrame:
+def _rows(frame: DataFrame, values: dict[tuple[str, float], float | None]) -> DataFrame:
     """One row per column and p, with NULL where the column holds no value."""
-    pairs = [(c, float(p)) for c in columns for p in ps]
-    every = found.sparkSession.createDataFrame(pairs, "column string, p double")
-    return every.join(F.broadcast(found), ["column", "p"], "left")
-
+    rows = [(column, float(p), value) for (column, p), value in values.items()]
+    return frame.sparkSession.createDataFrame(rows, "column string, p double, value double")

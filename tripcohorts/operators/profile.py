@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripcohorts.config import PROFILE_STATISTICS
 from tripcohorts.operators.cuts import Mean, trip_summary
-from tripcohorts.operators.percentiles import approx_percentiles
+from tripcohorts.operators.percentiles import exact_percentiles, sketch
 
 # Result names and decimal places of the extreme-tip summary, the error of the
 # profile's quartiles.
@@ -20,7 +23,7 @@ EXTREME_MEANS = (
     Mean("fare_amount", "avg_fare_amount", 2),
     Mean("trip_distance", "avg_trip_distance", 2),
 )
-QUARTILE_ERROR = 0.0001
+QUARTILE_ERROR = 0.001
 
 
 def moments(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -39,39 +42,69 @@ def rounded_moments(frame: DataFrame, columns: Sequence[str], places: int = 4) -
     return table.withColumns({s: F.round(s, places) for s in ("mean", "stddev")})
 
 
+def exact_profile(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rounded moments and exact quartiles, one typed row per column."""
+    shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    found = exact_percentiles(frame, columns, list(shares.values()))
+    quartiles = found.groupBy("column").agg(
+        *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name) for name, p in shares.items()]
+    )
+    return rounded_moments(frame, columns).join(quartiles, "column")
+
+
+@dataclass
+class Summary:
+    """Count, mean and sum of squared deviations; two of them merge without loss of digits."""
+
+    count: int
+    mean: float
+    squares: float
+
+    def merged(self, other: Summary) -> Summary:
+        count = self.count + other.count
+        if not count:
+            return self
+        apart = other.mean - self.mean
+        return Summary(
+            count,
+            self.mean + apart * other.count / count,
+            self.squares + other.squares + apart * apart * self.count * other.count / count,
+        )
+
+
 def describe(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Statistics as rows, columns as columns, all text; quartiles are approximate.
 
-    The table ``DataFrame.summary`` gives, with its error, but with the quartile sketches
-    merged group by group instead of all in the last task.
+    The table ``DataFrame.summary`` gives, from one scan: moments and quartile sketches of groups
+    of tasks, of which there is a fixed number, are merged on the driver.
     """
-    measured = moments(frame, columns)
-    plain = [s for s in PROFILE_STATISTICS if not s.endswith("%")]
-    quartiles = [s for s in PROFILE_STATISTICS if s.endswith("%")]
-    as_text = measured.select(
-        "column",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(s).alias("summary"), F.col(s).cast("string").alias("text"))
-                    for s in plain
-                ]
-            )
-        ),
-    )
-    shares = [float(s.rstrip("%")) / 100 for s in quartiles]
-    names = {share: name for share, name in zip(shares, quartiles)}
-    found = approx_percentiles(frame, columns, shares, QUARTILE_ERROR)
-    name = F.coalesce(*[F.when(F.col("p") == share, label) for share, label in names.items()])
-    found_text = found.select("column", name.alias("summary"), F.col("value").cast("string").alias("text"))
-    table = (
-        as_text.unionByName(found_text)
-        .groupBy("summary")
-        .pivot("column", list(columns))
-        .agg(F.first("text", ignorenulls=True))
-    )
-    position = F.array_position(F.array(*map(F.lit, PROFILE_STATISTICS)), F.col("summary"))
-    return table.orderBy(position).select("summary", *columns)
+    quartiles = {s: float(s.rstrip("%")) / 100 for s in PROFILE_STATISTICS if s.endswith("%")}
+    more = {}
+    for c in columns:
+        value = F.col(c).cast("double")
+        more |= {f"{c}__mean": F.avg(value), f"{c}__squares": F.var_pop(value) * F.count(value)}
+        more |= {f"{c}__min": F.min(c), f"{c}__max": F.max(c)}
+    named = {c: F.col(c) for c in columns}
+    found, rows = sketch(frame, named, ceil(1 / QUARTILE_ERROR), ceil(2 / QUARTILE_ERROR), more)
+    table: dict[str, list[float | None]] = {s: [] for s in PROFILE_STATISTICS}
+    for c, counted in zip(columns, found, strict=True):
+        parts = [r for r in rows if r[f"{c}__mean"] is not None]
+        each = [Summary(n, r[f"{c}__mean"], r[f"{c}__squares"]) for n, r in zip(found[counted].counts, parts, strict=True)]
+        whole = reduce(Summary.merged, each, Summary(0, 0.0, 0.0))
+        table["count"].append(float(whole.count))
+        table["mean"].append(whole.mean if whole.count else None)
+        table["stddev"].append(sqrt(whole.squares / (whole.count - 1)) if whole.count > 1 else None)
+        table["min"].append(min((r[f"{c}__min"] for r in parts), default=None))
+        table["max"].append(max((r[f"{c}__max"] for r in parts), default=None))
+        for name, share in quartiles.items():
+            table[name].append(found[counted].at(share))
+    schema = ", ".join(["place int", "summary string", *[f"`{c}` double" for c in columns]])
+    wide = frame.sparkSession.createDataFrame([(i, s, *table[s]) for i, s in enumerate(PROFILE_STATISTICS)], schema)
+    texts = [
+        F.when(F.col("summary") == "count", F.col(c).cast("long").cast("string")).otherwise(F.col(c).cast("string")).alias(c)
+        for c in columns
+    ]
+    return wide.orderBy("place").select("summary", *texts)
 
 
 def extreme_summary(extreme_trips: DataFrame, cohort: str) -> DataFrame:

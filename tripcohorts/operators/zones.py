@@ -1,32 +1,21 @@
 """Attaching zone names to trips.
 
-The lookup is small as published, but its size is measured, not assumed:
-
-* within the bound it is broadcast and the trips stay where they are;
-* beyond it, grouped results first total the trips by zone id and join those totals;
-* beyond it, row-level results use a shuffle join salted against hot ids.
-
-Grouping by id first is exact because zone names depend on the id alone, and it makes a
-zone with a third of all trips no heavier than any other: each task sends one row for it.
+Grouped results first total the trips by zone id and join those totals: exact, because zone
+names depend on the id alone, and a zone with a third of all trips is no heavier than any
+other, since each task sends one row for it. Row-level results join the trips; how is left to
+Spark, which knows the size of the lookup and splits hot ids.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripcohorts.functions.features import PICKUP_ZONE
 from tripcohorts.operators.cuts import SOURCES, trip_totals
 
-BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
-_ROW_OVERHEAD = 64  # row header, hash table slot and fixed-width fields, generously
-
 
 def zone_dimension(
     zones: DataFrame, borough_as: str = "pickup_borough", zone_as: str = "pickup_zone"
@@ -39,42 +28,16 @@ def zone_dimension(
     )
 
 
-def measured_bytes(dimension: DataFrame) -> int:
-    """Size of the rows as a broadcast would hold them, from one aggregate over the lookup."""
-    widths = [
-        F.coalesce(F.octet_length(field.name), F.lit(0)) if isinstance(field.dataType, T.StringType) else F.lit(8)
-        for field in dimension.schema.fields
-    ]
-    size = F.sum((reduce(add, widths) + _ROW_OVERHEAD).cast("long"))
-    return dimension.agg(F.coalesce(size, F.lit(0)).alias("bytes")).first()["bytes"]
-
-
-def fits_broadcast(dimension: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return measured_bytes(dimension) <= limit
-
-
-def join_zones(trips: DataFrame, dimension: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def join_zones(trips: DataFrame, dimension: DataFrame) -> DataFrame:
     """Left join on the pickup zone id: every trip stays, unmatched ones with NULL names."""
-    if fits_broadcast(dimension, limit):
-        return trips.join(F.broadcast(dimension), PICKUP_ZONE, "left")
-    return _salted_left_join(trips, dimension)
+    return trips.join(dimension, PICKUP_ZONE, "left")
 
 
-def zone_rows(
-    trips: DataFrame,
-    dimension: DataFrame,
-    keys: Sequence[str],
-    sources: Sequence[str] = SOURCES,
-    limit: int = BROADCAST_BYTES,
-) -> tuple[DataFrame, bool]:
-    """Rows with zone names for grouping, and whether they are totals rather than trips.
-
-    ``keys`` are the trip columns the caller will group by besides the zone names.
-    """
-    if fits_broadcast(dimension, limit):
-        return trips.join(F.broadcast(dimension), PICKUP_ZONE, "left"), False
-    by_id = trip_totals(trips, [*keys, PICKUP_ZONE], sources)
-    return by_id.join(dimension, PICKUP_ZONE, "left"), True
+def zone_totals(
+    trips: DataFrame, dimension: DataFrame, keys: Sequence[str], sources: Sequence[str] = SOURCES
+) -> DataFrame:
+    """Totals by ``keys`` and zone id, with zone names, to be grouped again."""
+    return join_zones(trip_totals(trips, [*keys, PICKUP_ZONE], sources), dimension)
 
 
 def repeated_zone_ids(zones: DataFrame, key: str = "LocationID") -> DataFrame:
@@ -99,15 +62,3 @@ def join_audit(trips: DataFrame, dimension: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n_trips"), F.lit(0)).alias("rows_before"),
         F.coalesce(F.sum(F.col("n_trips") * F.col("n_joined")), F.lit(0)).alias("rows_after"),
     )
-
-
-def _salted_left_join(trips: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Shuffle join in which each id is spread over SALTS partitions.
-
-    The salt counts rows within a task, so even identical trips of one id (or of no id)
-    spread evenly; every lookup row is repeated once per salt to meet them.
-    """
-    salted = trips.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    spread = dimension.withColumn("_salt", salts)
-    return salted.join(spread.hint("merge"), [PICKUP_ZONE, "_salt"], "left").drop("_salt")

@@ -26,7 +26,7 @@ from tripcohorts.operators.cuts import (
     trip_summary,
 )
 from tripcohorts.operators.ordering import order_rows
-from tripcohorts.operators.percentiles import percentiles
+from tripcohorts.operators.percentiles import percentiles, rank_check
 
 # The cuts of this study, their measures and their order.
 CUTS = {
@@ -90,6 +90,10 @@ def raw_moments(trips: DataFrame, study: DateStudy = DateStudy()) -> DataFrame:
     return profile.rounded_moments(study_trips(trips, study), PROFILE_COLUMNS)
 
 
+def exact_profile(trips: DataFrame, study: DateStudy = DateStudy()) -> DataFrame:
+    return order_rows(profile.exact_profile(study_trips(trips, study), PROFILE_COLUMNS), "column")
+
+
 def approx_percentiles(
     trips: DataFrame, study: DateStudy = DateStudy(), relative_error: float = PERCENTILE_ERROR
 ) -> DataFrame:
@@ -97,6 +101,15 @@ def approx_percentiles(
     return order_rows(found, "column", "p")
 
 
+def approx_percentile_ranks(
+    trips: DataFrame, study: DateStudy = DateStudy(), relative_error: float = PERCENTILE_ERROR
+) -> DataFrame:
+    """Whether each approximate percentile has a rank within the error."""
+    rows = study_trips(trips, study)
+    found = percentiles(rows, PROFILE_COLUMNS, PERCENTILES, relative_error)
+    return order_rows(rank_check(rows, found, PROFILE_COLUMNS, relative_error), "column", "p")
+
+
 def tail_percentiles(
     trips: DataFrame, study: DateStudy = DateStudy(), relative_error: float = 0.0
 ) -> DataFrame:
@@ -205,8 +218,8 @@ def shared_totals(trips: DataFrame, zones: DataFrame, study: DateStudy = DateStu
     """Totals for all six cuts from a single scan of the trips."""
     rows = clean_trips(trips, study).withColumn("is_card", _is_card(study))
     trip_keys = ["period", "is_card", "pickup_hour", "airport_trip_flag"]
-    zoned, totals = zone_ops.zone_rows(rows, zone_ops.zone_dimension(zones), trip_keys)
-    return all_cut_totals(zoned, _SHARED_CUTS, totals=totals)
+    zoned = zone_ops.zone_totals(rows, zone_ops.zone_dimension(zones), trip_keys)
+    return all_cut_totals(zoned, _SHARED_CUTS)
 
 
 def results_from_totals(shared: DataFrame, study: DateStudy = DateStudy()) -> dict[str, DataFrame]:
@@ -227,8 +240,8 @@ def _total(count: Column) -> Column:
 
 
 def _zone_cut(trips: DataFrame, zones: DataFrame, study: DateStudy, name: str) -> DataFrame:
-    rows, totals = zone_ops.zone_rows(card_trips(trips, study), zone_ops.zone_dimension(zones), ["period"])
-    return _finish(rows, name, study, totals)
+    rows = zone_ops.zone_totals(card_trips(trips, study), zone_ops.zone_dimension(zones), ["period"])
+    return _finish(rows, name, study, totals=True)
 
 
 def _finish(rows: DataFrame, name: str, study: DateStudy, totals: bool = False) -> DataFrame:

@@ -2,22 +2,26 @@
 
 A job reads the trips once for all cuts: totals of every cut are computed together, kept in
 the checkpoint folder, and each result is read off them. Results are written in their order,
-one CSV part each.
+one CSV part each, and what is shown is read back from there. Previews are cut after
+PREVIEW_ROWS rows and say so; ``report --out`` writes whole report tables.
 """
 
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripcohorts.config import TAIL_PERCENTILE_ERROR, DateStudy, MonthStudy
+from tripcohorts.config import DateStudy, MonthStudy
+from tripcohorts.functions.cohorts import in_month_folders
 from tripcohorts.operators.zones import repeated_zone_ids
 from tripcohorts.plans import date_study, month_study, reports
-from tripcohorts.session import build_session, cut_lineage
+from tripcohorts.session import build_session, cut_lineage, remove_checkpoints
 from tripcohorts.sinks.monthly import write_monthly
 from tripcohorts.sinks.results import write_single_csv
 from tripcohorts.sources.catalog import TRIPS_TABLE, ZONES_TABLE, register_tables
+from tripcohorts.sources.results import read_result
 from tripcohorts.sources.tables import read_trips, read_zones
 
 PREVIEW_ROWS = 100
@@ -28,8 +32,8 @@ def run_date_study(
 ) -> dict[str, DataFrame]:
     """Writes six cuts to ``out`` and three quality tables to ``out/eda``.
 
-    Four scans of the study rows, whatever the number of tables: one for all cuts, one for
-    the counters, two for the profile (moments, quartiles).
+    Three scans of the study rows, whatever the number of tables: one for all cuts, one for
+    the counters, one for the profile. Returns the written tables.
     """
     require_unique_zones(zones)
     cuts = date_study.results_from_totals(cut_lineage(date_study.shared_totals(trips, zones, study)), study)
@@ -39,20 +43,25 @@ def run_date_study(
         write_single_csv(result, f"{out}/{name}")
     for name, result in quality.items():
         write_single_csv(result, f"{out}/eda/{name}")
-    return {**cuts, **quality}
+    spark = trips.sparkSession
+    paths = {name: f"{out}/{name}" for name in cuts} | {name: f"{out}/eda/{name}" for name in quality}
+    return {name: read_result(spark, path, name) for name, path in paths.items()}
 
 
 def run_month_study(
     trips: DataFrame, zones: DataFrame, out: str, study: MonthStudy = MonthStudy()
 ) -> dict[str, DataFrame]:
-    """Writes the five result tables to ``out``, all fields quoted; one scan of the trips."""
+    """Writes the five result tables to ``out``, all fields quoted; one scan of the trips.
+
+    Returns the written tables.
+    """
     require_unique_zones(zones)
     results = month_study.results_from_totals(
         cut_lineage(month_study.shared_totals(trips, zones, study)), study
     )
     for name, result in results.items():
         write_single_csv(result, f"{out}/{name}", quote_all=True)
-    return results
+    return {name: read_result(trips.sparkSession, f"{out}/{name}", name) for name in results}
 
 
 def require_unique_zones(zones: DataFrame) -> None:
@@ -69,6 +78,7 @@ def main(arguments: list[str] | None = None) -> None:
     dates.add_argument("--trips", nargs="+", required=True, help="Parquet paths or globs")
     dates.add_argument("--zones", required=True, help="zone lookup CSV")
     dates.add_argument("--out", required=True)
+    dates.add_argument("--month-folders", action="store_true", help="trips are laid out by by-month")
     months = jobs.add_parser("month-study", help="month-set cohorts, from catalog tables")
     months.add_argument("--database", required=True)
     months.add_argument("--out", required=True)
@@ -82,24 +92,35 @@ def main(arguments: list[str] | None = None) -> None:
     report = jobs.add_parser("report", help="show report tables of written results")
     report.add_argument("--date-results")
     report.add_argument("--month-results")
+    report.add_argument("--out", help="folder for the whole report tables")
     chosen = parser.parse_args(arguments)
     spark = build_session(f"tripcohorts {chosen.job}")
-    _RUNNERS[chosen.job](spark, chosen)
+    try:
+        _RUNNERS[chosen.job](spark, chosen)
+    finally:
+        remove_checkpoints(spark)
 
 
 def _date_job(spark: SparkSession, chosen: argparse.Namespace) -> None:
     trips, zones = read_trips(spark, *chosen.trips), read_zones(spark, chosen.zones)
-    date_study.row_funnel(trips, zones).show()
-    date_study.approx_percentiles(trips).show(PREVIEW_ROWS, truncate=False)
-    date_study.tail_percentiles(trips, relative_error=TAIL_PERCENTILE_ERROR).show(PREVIEW_ROWS, truncate=False)
-    _show(run_date_study(trips, zones, chosen.out))
+    study = DateStudy()
+    if chosen.month_folders:
+        study = replace(study, cohorts=in_month_folders(study.cohorts))
+    show(
+        {
+            "row_funnel": date_study.row_funnel(trips, zones, study),
+            "approx_percentiles": date_study.approx_percentiles(trips, study),
+            "tail_percentiles": date_study.tail_percentiles(trips, study),
+        }
+    )
+    show(run_date_study(trips, zones, chosen.out, study))
 
 
 def _month_job(spark: SparkSession, chosen: argparse.Namespace) -> None:
     trips = spark.table(f"{chosen.database}.{TRIPS_TABLE}")
     zones = spark.table(f"{chosen.database}.{ZONES_TABLE}")
-    month_study.total_row_count(trips).show()
-    _show(run_month_study(trips, zones, chosen.out))
+    show({"total_row_count": month_study.total_row_count(trips)})
+    show(run_month_study(trips, zones, chosen.out))
 
 
 def _register_job(spark: SparkSession, chosen: argparse.Namespace) -> None:
@@ -112,10 +133,15 @@ def _layout_job(spark: SparkSession, chosen: argparse.Namespace) -> None:
 
 
 def _report_job(spark: SparkSession, chosen: argparse.Namespace) -> None:
+    tables: dict[str, DataFrame] = {}
     if chosen.date_results:
-        _show(reports.date_reports(spark, chosen.date_results))
+        tables |= reports.date_reports(spark, chosen.date_results)
     if chosen.month_results:
-        _show(reports.month_reports(spark, chosen.month_results))
+        tables |= reports.month_reports(spark, chosen.month_results)
+    if chosen.out:
+        for name, table in tables.items():
+            write_single_csv(table, f"{chosen.out}/{name}")
+    show(tables)
 
 
 _RUNNERS = {
@@ -127,10 +153,14 @@ _RUNNERS = {
 }
 
 
-def _show(tables: dict[str, DataFrame]) -> None:
+def show(tables: dict[str, DataFrame]) -> None:
+    """Prints the first rows of each table, and how many there are beyond."""
     for name, table in tables.items():
         print(name)
         table.show(PREVIEW_ROWS, truncate=False)
+        more = table.count() - PREVIEW_ROWS
+        if more > 0:
+            print(f"{more} more rows are not shown")
 
 
 if __name__ == "__main__":

@@ -68,8 +68,8 @@ def tip_rate_by_hour(trips: DataFrame, study: MonthStudy = MonthStudy()) -> Data
 def tip_rate_by_borough(
     trips: DataFrame, zones: DataFrame, study: MonthStudy = MonthStudy()
 ) -> DataFrame:
-    rows, totals = zone_ops.zone_rows(card_trips(trips, study), lookup(zones), ["study_period"])
-    return _finish(rows.filter(F.col("borough").isNotNull()), "tip_rate_by_borough", totals)
+    rows = zone_ops.zone_totals(card_trips(trips, study), lookup(zones), ["study_period"])
+    return _finish(rows.filter(F.col("borough").isNotNull()), "tip_rate_by_borough", totals=True)
 
 
 def controlled_comparison(
@@ -79,17 +79,17 @@ def controlled_comparison(
     strata: Sequence[str] = ("borough", "pickup_hour"),
 ) -> DataFrame:
     """Cohort difference inside each stratum; by default borough and hour, also zone."""
-    rows, totals = zone_ops.zone_rows(
+    rows = zone_ops.zone_totals(
         card_trips(trips, study), lookup(zones), ["study_period", "pickup_hour"], ["tip_rate"]
     )
-    return _compare(rows, study, strata, totals)
+    return _compare(rows, study, strata)
 
 
 def shared_totals(trips: DataFrame, zones: DataFrame, study: MonthStudy = MonthStudy()) -> DataFrame:
     """Totals for all cuts of the study from a single scan of the trips."""
     trip_keys = ["study_period", "airport_direction", "pickup_hour"]
-    rows, totals = zone_ops.zone_rows(card_trips(trips, study), lookup(zones), trip_keys)
-    return all_cut_totals(rows, CUTS, totals=totals)
+    rows = zone_ops.zone_totals(card_trips(trips, study), lookup(zones), trip_keys)
+    return all_cut_totals(rows, CUTS)
 
 
 def results_from_totals(shared: DataFrame, study: MonthStudy = MonthStudy()) -> dict[str, DataFrame]:
@@ -101,7 +101,7 @@ def results_from_totals(shared: DataFrame, study: MonthStudy = MonthStudy()) ->
             rows = rows.filter(F.col("borough").isNotNull())
         results[name] = _finish(rows, name, totals=True)
     compared = "zone_hour_controlled_comparison"
-    results[compared] = _compare(cut_rows(shared, CUTS, compared), study, ("borough", "pickup_hour"), True)
+    results[compared] = _compare(cut_rows(shared, CUTS, compared), study, ("borough", "pickup_hour"))
     return results
 
 
@@ -113,12 +113,12 @@ def _finish(rows: DataFrame, name: str, totals: bool) -> DataFrame:
     return order_rows(trip_summary(rows, CUTS[name], totals=totals), *ORDERS[name])
 
 
-def _compare(rows: DataFrame, study: MonthStudy, strata: Sequence[str], totals: bool) -> DataFrame:
+def _compare(rows: DataFrame, study: MonthStudy, strata: Sequence[str]) -> DataFrame:
     return compare_strata(
         rows.filter(F.col("borough").isin(*study.boroughs)),
         strata,
         "study_period",
         study.control_min_trips,
         study.control_top,
-        totals,
+        totals=True,
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # AQE sizes shuffles at run time. On a cluster set spark.sql.shuffle.partitions to a few times
@@ -35,13 +33,18 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     Used for small grouped tables that several results are read from: a lost executor then
     costs a re-read of that table and not another scan of the trips.
     """
-    spark = frame.sparkSession
-    context = spark.sparkContext
+    context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
+        folder = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-            folder = tempfile.mkdtemp(prefix="tripcohorts-checkpoint-")
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         context.setCheckpointDir(folder)
     return frame.checkpoint(eager=True)
+
+
+def remove_checkpoints(spark: SparkSession) -> None:
+    """Deletes what this application has kept in the checkpoint folder."""
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

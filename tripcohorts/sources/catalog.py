@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tripcohorts.schemas import TRIP_SCHEMA, ZONE_SCHEMA
-from tripcohorts.sources.tables import QUOTED_CSV
+from tripcohorts.sources.tables import QUOTED_CSV, read_trips
 
 TRIPS_TABLE = "yellow_taxi_trips"
 ZONES_TABLE = "taxi_zone_lookup"
@@ -37,7 +37,11 @@ def create_external_table(
 def register_tables(
     spark: SparkSession, database: str, trips_location: str, zones_location: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Database plus both tables; safe to repeat. Returns the tables by qualified name."""
+    """Database plus both tables; safe to repeat. Returns the tables by qualified name.
+
+    Trip files that lack a column the studies read are refused.
+    """
+    read_trips(spark, trips_location)
     create_database(spark, database)
     trips, zones = f"{_quoted(database)}.{TRIPS_TABLE}", f"{_quoted(database)}.{ZONES_TABLE}"
     create_external_table(spark, trips, TRIP_SCHEMA, "parquet", trips_location)

@@ -2,28 +2,75 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripcohorts.schemas import TRIP_SCHEMA, ZONE_SCHEMA
 
+#: Columns of trips that the studies read.
+USED_COLUMNS = (
+    "tpep_pickup_datetime",
+    "trip_distance",
+    "PULocationID",
+    "DOLocationID",
+    "payment_type",
+    "fare_amount",
+    "tip_amount",
+)
+FOOTERS_AT_ONCE = 16
 QUOTED_CSV = {"header": "true", "sep": ",", "quote": '"'}
 
 
-def read_trips(spark: SparkSession, *paths: str, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
+def read_trips(
+    spark: SparkSession,
+    *paths: str,
+    schema: T.StructType = TRIP_SCHEMA,
+    used: Sequence[str] = USED_COLUMNS,
+) -> DataFrame:
     """One table over many Parquet files; paths may be globs.
 
-    With the schema given, no file footer is opened to infer one, and files whose unused
-    columns differ in type still read, since only selected columns are decoded.
+    Every file must hold the ``used`` columns in their types, or
+    reading fails: a missing column would otherwise read as NULL. Other columns may differ from
+    file to file, since only selected columns are decoded.
     """
-    return spark.read.schema(schema).parquet(*paths)
+    trips = spark.read.schema(schema).parquet(*paths)
+    check_files(spark, trips.inputFiles(), schema, used)
+    return trips
+
+
+def check_files(
+    spark: SparkSession, files: Sequence[str], schema: T.StructType, used: Sequence[str] = USED_COLUMNS
+) -> None:
+    """Fails with all that keeps a Parquet file from being read; one footer for each file."""
+    wanted = T.StructType([f for f in schema.fields if f.name in used])
+
+    def problems(file: str) -> list[str]:
+        return [f"{file}: {problem}" for problem in schema_problems(spark.read.parquet(unquote(file)), wanted)]
+
+    with ThreadPool(FOOTERS_AT_ONCE) as pool:
+        found = [problem for each in pool.imap(problems, files) for problem in each]
+    if found:
+        raise ValueError("; ".join(found[:10]) + (f"; and {len(found) - 10} more" if len(found) > 10 else ""))
 
 
 def read_zones(spark: SparkSession, path: str, infer_types: bool = False) -> DataFrame:
-    """The zone lookup from CSV with a header row. Inference costs an extra pass."""
+    """The zone lookup from CSV, by the names in its header row, in any order.
+
+    ``infer_types`` takes types from the values, which costs an extra pass.
+    """
     reader = spark.read.options(**QUOTED_CSV)
-    reader = reader.option("inferSchema", "true") if infer_types else reader.schema(ZONE_SCHEMA)
-    return reader.csv(path)
+    table = reader.option("inferSchema", str(infer_types)).csv(path)
+    missing = [f.name for f in ZONE_SCHEMA.fields if f.name.lower() not in map(str.lower, table.columns)]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+    if infer_types:
+        return table.select(*[F.col(f.name) for f in ZONE_SCHEMA.fields])
+    return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ZONE_SCHEMA.fields])
 
 
 def schema_problems(frame: DataFrame, expected: T.StructType) -> list[str]:
