@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 from brute import components
 
@@ -54,3 +55,16 @@ def test_queries_return_every_row(spark, number):
     key, table = ("page_id", "pages") if number == 5 else ("doc_id", "documents")
     ids = entry.queries()[name](spark, SMALL).select(key).distinct().count()
     assert ids == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
+
+
+@pytest.mark.parametrize("name", sorted(entry.llm.oracle_sql()))
+def test_same_as_duckdb(spark, name):
+    con = duckdb.connect()
+    for table in ("documents",):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    expected = con.execute(entry.oracle_sql()[name]).df()
+    found = entry.queries()[name](spark, SMALL).toPandas()
+    assert sorted(found.columns) == sorted(expected.columns)
+    columns = sorted(found.columns)
+    found, expected = (f[columns].sort_values("doc_id").reset_index(drop=True) for f in (found, expected))
+    assert found.equals(expected.astype(found.dtypes))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcohorts.llm import bpe, fingerprints, language, neardup, packing, pages, quality, repeats, secrets, toxicity
+from tripcohorts.llm import bpe, fingerprints, language, neardup, oracle, packing, pages, quality, repeats, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,4 +101,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_near_duplicates": oracle.NEAR_DUPLICATES, "op9_quality": oracle.QUALITY}
