@@ -11,7 +11,8 @@ parts. So no task holds a whole large group, and no link between different texts
 
 Edge cases: texts are compared by their set, so exact copies share one class and are compared once.
 A null or empty text, or one without words, has an empty set, no links and is kept. A text with fewer words
-than a shingle is one shingle. Repeated ids count as one document whose rows all return; further columns
+than a shingle is one shingle. Repeated ids count as one document whose rows all return. A null id cannot
+stand for a group: such a row is kept unless its set is that of a document with an id. Further columns
 are ignored.
 """
 
@@ -35,9 +36,9 @@ HASHES = 2 * BAND * COLLECTION
 #: (at 0.8, five standard deviations of the estimate).
 LEAST_AGREEMENT = 0.55
 
-#: Partners that each member of a bucket gets: the first ones of the bucket. Larger buckets stay
-#: connected through them, and connected candidates are compared whole.
-PARTNERS = 4
+#: Buckets of at most this many sets give all their pairs. In a larger one each set is paired with the
+#: first in one of some orders: the bucket stays connected, and connected sets are compared whole.
+SMALL_BUCKET, ORDERS = 4, 16
 
 #: Bytes of shingles in one part of a group, and documents that are pivots of a larger group.
 GROUP_BYTES, PIVOTS = 32 << 20, 32
@@ -122,42 +123,40 @@ def table_rows(classes: DataFrame) -> DataFrame:
 
 
 def bucket_pairs(rows: DataFrame) -> DataFrame:
-    """a, b: each member of a bucket with the bucket's first members, one pair once in a task.
+    """a, b: pairs of sets that share a table key, one pair once in a task.
 
     Buckets are read in order, so none is held whole.
     """
 
     def run(batches):
-        last_key, heads = None, np.zeros(0, np.int64)
+        last_key = head = None
         for batch in batches:
             key, ids = batch.column("key").to_numpy(), batch.column("id").to_numpy()
             if not len(key):
                 continue
-            new = np.append(True, key[1:] != key[:-1])
-            firsts = np.flatnonzero(new)
-            start = np.repeat(firsts, np.diff(np.append(firsts, len(key))))
-            place = np.arange(len(key)) - start
+            firsts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            sizes = np.diff(np.append(firsts, len(key)))
+            size, place = np.repeat(sizes, sizes), np.arange(len(key)) - np.repeat(firsts, sizes)
             left, right = [], []
-            for back in range(PARTNERS):
-                here = np.flatnonzero(place > back)
-                left.append(ids[start[here] + back])
+            for back in range(SMALL_BUCKET - 1):
+                # by the first member, or by each before in a small bucket
+                here = np.flatnonzero((place > back) & ((size <= SMALL_BUCKET) | (back == 0)))
+                left.append(ids[here - place[here] + back])
                 right.append(ids[here])
-            if last_key is not None and key[0] == last_key:
-                # the bucket goes on from the batch before; its heads are known
-                size = int(np.searchsorted(start, 0, side="right")) if len(firsts) == 1 else int(firsts[1])
-                for back, head in enumerate(heads):
-                    left.append(np.full(size, head))
-                    right.append(ids[:size])
-            tail = ids[firsts[-1] :]
-            heads = np.append(heads, tail)[:PARTNERS] if len(firsts) == 1 and key[0] == last_key else tail[:PARTNERS]
+            goes_on = key[0] == last_key
+            if goes_on:
+                left.append(np.full(sizes[0], head))
+                right.append(ids[: sizes[0]])
+            if not (goes_on and len(firsts) == 1):
+                head = ids[firsts[-1]]
             last_key = key[-1]
             pairs = np.stack([np.concatenate(left), np.concatenate(right)])
-            pairs = pairs[:, pairs[0] != pairs[1]]
-            pairs = np.unique(np.sort(pairs, axis=0), axis=1)
+            pairs = np.unique(np.sort(pairs[:, pairs[0] != pairs[1]], axis=0), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    # first in a bucket are others in every table, so two close members of large buckets meet in some
-    ordered = rows.repartition("key").sortWithinPartitions("key", F.xxhash64("id", "key"))
+    # the first of a bucket differs with the order, so two close members of large buckets meet in some
+    order = F.xxhash64("id", F.pmod("key", F.lit(ORDERS)))
+    ordered = rows.repartition("key").sortWithinPartitions("key", order)
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -309,7 +308,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
         F.min_by("signature", "doc_id").alias("signature"),
         F.first("n_shingles").alias("n_shingles"),
     )
-    classes = written(classes, "classes")
+    classes = written(classes.filter("id is not null"), "classes")
     pairs = written(close_pairs(bucket_pairs(table_rows(classes)), classes), "pairs")
     degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
     groups = written(components(pairs).join(degree, "id"), "groups")
