@@ -23,11 +23,15 @@ def work_folder(spark: SparkSession) -> str:
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The same rows, written to the shared folder and read again.
 
-    Cuts the lineage: a lost executor does not bring the work before this point back.
+    Cuts the lineage: a lost executor does not bring the work before this point back. The files
+    go when the application ends.
     """
-    path = f"{work_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = frame.sparkSession
+    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def text_of(column: str | Column = "text") -> Column:

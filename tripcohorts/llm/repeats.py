@@ -266,7 +266,9 @@ def _entries(part: pa.RecordBatch, what: int) -> tuple[dict[str, np.ndarray], np
     sizes = np.nan_to_num(np.asarray(pc.list_value_length(found).fill_null(0)))
     owner = np.repeat(np.arange(len(found)), sizes)
     flat = found.flatten()
-    values = {name: flat.field(place).to_numpy(zero_copy_only=False).astype(np.int64) for place, name in enumerate(("at", "off", "n", "what"))}
+    names = ("at", "off", "n", "what")
+    columns = (flat.field(place).to_numpy(zero_copy_only=False) for place in range(len(names)))
+    values = {name: column.astype(np.int64) for name, column in zip(names, columns, strict=True)}
     kept = (values["what"] & what) > 0
     return {name: column[kept] for name, column in values.items()}, owner[kept]
 
@@ -338,7 +340,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, texts: bool = Fal
     result = map_texts(both, work, schema, limit=PART_BYTES)
     if not texts:
         return result
-    named = [F.col("text") if name == "text" else F.col("doc_id") if name == "doc_id" else F.col("others")[name].alias(name) for name in documents.columns]
+    named = [F.col("others")[name].alias(name) if name in others else F.col(name) for name in documents.columns]
     return result.select(*named, "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
 
 
