@@ -20,7 +20,6 @@ PROFILE_STATISTICS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "ma
 PERCENTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
 PERCENTILE_ERROR = 0.01
 TAIL_PERCENTILES = (0.95, 0.99, 0.995, 0.999, 0.9999)
-TAIL_PERCENTILE_ERROR = 0.001
 
 
 @dataclass(frozen=True)
