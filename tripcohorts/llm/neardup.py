@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripcohorts.llm.common import map_texts, text_of, written
-from tripcohorts.llm.words import LOWER, PART_BYTES, Rolling, Words, mixed, split_words, text_bytes, window_hashes
+from tripcohorts.llm.words import LOWER, PART_BYTES, Words, mixed, split_words, text_bytes, window_hashes
 
 #: MinHashes in a band, and bands in each of the two collections. A pair with similarity 0.85 is
 #: missed with probability 2 * (1 - 0.85 ** 3) ** 12 = 2e-5, one with 0.8 with 4e-4.
@@ -40,6 +40,9 @@ LEAST_AGREEMENT = 0.55
 #: first in one of some orders: the bucket stays connected, and connected sets are compared whole.
 SMALL_BUCKET, ORDERS = 4, 16
 
+#: Pairs whose connections one task finds by itself.
+TASK_PAIRS = 500_000
+
 #: Bytes of shingles in one part of a group, and documents that are pivots of a larger group.
 GROUP_BYTES, PIVOTS = 32 << 20, 32
 
@@ -176,15 +179,44 @@ def close_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_texts(both, work, "a long, b long", "signature_a", limit=4096 * 4 * HASHES)
 
 
-def components(pairs: DataFrame, ids: tuple[str, str] = ("a", "b")) -> DataFrame:
-    """id, component (smallest id reachable) of every id in the pairs.
+def forests(pairs: DataFrame) -> DataFrame:
+    """u, v: each id with the smallest one that the pairs of its task reach.
+
+    A task takes a bounded number of pairs and returns at most one row for each of their ids, so
+    a dense group comes down to its members before its pairs meet in a join.
+    """
+
+    def run(batches):
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (above := root.setdefault(x, x)) != x:
+                root[x] = root[above]
+                x = above
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                a, b = find(a), find(b)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+        rows = [(x, find(x)) for x in list(root)]
+        rows = [(x, r) for x, r in rows if x != r]
+        columns = [pa.array([row[place] for row in rows], pa.int64()) for place in (0, 1)]
+        yield pa.RecordBatch.from_arrays(columns, names=["u", "v"])
+
+    tasks = max(1, -(-pairs.count() // TASK_PAIRS))
+    return pairs.coalesce(tasks).mapInArrow(run, "u long, v long")
+
+
+def components(pairs: DataFrame) -> DataFrame:
+    """id, component (smallest id reachable) of every id in the written pairs (a, b).
 
     Large and small stars in turn: each id's neighbours are linked with the smallest of them. The
     number of rounds grows with the logarithm of the longest path, and every round is grouped
     with partial aggregation, so a hub is no burden for one task.
     """
-    edges = pairs.select(F.greatest(*ids).alias("u"), F.least(*ids).alias("v")).filter("u != v").distinct()
-    edges = written(edges, "edges")
+    edges = written(forests(pairs).distinct(), "edges")
     known = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
