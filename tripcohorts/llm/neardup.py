@@ -6,8 +6,9 @@ a table key are candidates; their signatures weed out those that are far apart,
 candidates meet in one group, where every link is confirmed on the full sets.
 
 A group too large for one task is split into parts. Its pivots, the documents with most
-candidates, go to all parts; documents that no link connects with the pivots are compared with all
-parts. So no task holds a whole large group, and no link between different texts is left out.
+candidates, go to all parts. What the links found so connect with each other is settled; the largest
+such component stays where it is, and every document outside of it is compared with all parts. So no
+task holds a whole large group, and of two linked documents that are still apart one meets the other.
 
 Edge cases: texts are compared by their set, so exact copies share one class and are compared once.
 A null or empty text, or one without words, has an empty set, no links and is kept. A text with fewer words
@@ -308,10 +309,11 @@ def confirmed_links(sets: DataFrame, parts: DataFrame, percent: int) -> DataFram
     others = pivots.select("*", every).filter("`to` != part").drop("part").withColumnRenamed("to", "part")
     inner = written(placed.unionByName(others).groupBy(key).applyInPandas(block, schema), "links")
 
-    # what no link connects with a pivot meets every part
-    reached = components(inner)
-    central = reached.join(best, "id", "left_semi").select("component").distinct()
-    near = reached.join(central, "component", "left_semi").select("id")
+    # all but the largest component of a group meets every part: pivots can lie in several
+    reached = written(components(inner).withColumnRenamed("component", "reached"), "reached")
+    sizes = split.join(reached, "id").groupBy("component", "reached").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("component").agg(F.max_by("reached", F.struct("size", "reached")).alias("reached"))
+    near = reached.join(largest, "reached", "left_semi").select("id")
     far = split.join(near, "id", "left_anti").withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), "parts"))
     far = written(far.select("id", "component", "chunk", "shingles", every).withColumnRenamed("to", "part"), "far")
     meetings = far.select([F.col(name).alias(name) for name in (*key, "chunk")]).distinct()
