@@ -8,7 +8,8 @@ and every merge scans neighbours for matches, so an entry is merged a logarithmi
 
 An anchor's stretch is all windows that it stands for. A stretch that occurs elsewhere is repeated
 as a whole. Where suffixes at an anchor agree in part only, the windows themselves are compared:
-one stretch of each kind sends the hashes of its windows to a second round of shards.
+one stretch of each kind sends the hashes of its windows to a second round of shards, by these
+hashes, so that a string in very many documents spreads over the tasks.
 
 Edge cases: a null or empty text, and one shorter than `length`, has nothing to remove. Repeated rows
 are repeats of each other. Null ids are kept. An empty table gives no rows. A text is held whole by
@@ -37,10 +38,13 @@ ANCHOR_BYTES = 40
 #: Bytes of text whose anchors share a shard.
 SHARD_TEXT = 24 << 20
 
+#: Windows of the second round that share a shard.
+SHARD_WINDOWS = 2 << 20
+
 _POSITION_BITS = np.uint64(28)
 _POSITION = (np.uint64(1) << _POSITION_BITS) - np.uint64(1)
 
-_COLUMNS = {"h": "<u8", "ctx": "<u4", "doc": "<i8", "tag": "<i4", "at": "<i4", "off": "u1", "n": "u1"}
+_COLUMNS = {"h": "<u8", "ctx": "<u8", "doc": "<i8", "tag": "<i4", "at": "<i4", "off": "u1", "n": "u1"}
 
 #: What a stretch is: repeated as a whole; to be compared window by window.
 WHOLE, OPEN = 1, 2
@@ -168,7 +172,7 @@ def anchor_rows(texts: DataFrame, shards: int, length: int) -> DataFrame:
         whole = rolling.of(first, first + count - 1 + length) + (anchor - first).astype(np.uint64)
         columns = {
             "h": h,
-            "ctx": (whole >> np.uint64(7)).astype(np.uint32),
+            "ctx": whole,
             "doc": part.column("doc").to_numpy()[owner],
             "tag": part.column("tag").to_numpy()[owner],
             "at": (first - bounds[owner]).astype(np.int32),
@@ -194,68 +198,45 @@ def matching_stretches(rows: DataFrame) -> DataFrame:
 
 
 def window_rows(open_texts: DataFrame, shards: int, length: int) -> DataFrame:
-    """Packed window hashes of open stretches, by shard of their anchor."""
+    """Packed window hashes of open stretches, by shard of the window."""
 
     def work(part: pa.RecordBatch) -> dict:
         data, bounds = text_bytes(part.column("text"))
         rolling = Rolling(data)
         entries, owner = _entries(part, OPEN)
-        first = entries["at"] + bounds[owner]
-        anchor = first + entries["off"]
-        h = rolling.of(anchor, anchor + ANCHOR_BYTES)
-        shard = (h % np.uint64(shards)).astype(np.int32)
-        order = np.argsort(shard, kind="stable")
-        count = entries["n"][order]
-        start = np.repeat(first[order] - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
+        first, count = entries["at"] + bounds[owner], entries["n"]
+        start = np.repeat(first - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
+        windows, owner = rolling.of(start, start + length), np.repeat(owner, count)
         columns = {
             "doc": part.column("doc").to_numpy()[owner],
             "tag": part.column("tag").to_numpy()[owner],
-            "at": entries["at"].astype(np.int32),
-            "n": entries["n"].astype(np.uint8),
+            "at": (start - bounds[owner]).astype(np.int32),
+            "window": windows,
         }
-        rows = _by_shard(shard, columns)
-        windows = rolling.of(start, start + length)
-        ends = np.cumsum([np.frombuffer(n, np.uint8).sum(dtype=np.int64) for n in rows["n"]]).astype(np.int64)
-        rows["windows"] = [windows[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False)]
-        return rows
+        return _by_shard((windows % np.uint64(shards)).astype(np.int32), columns)
 
-    schema = "shard int, doc binary, tag binary, at binary, n binary, windows binary"
+    schema = "shard int, doc binary, tag binary, at binary, window binary"
     return map_texts(open_texts, work, schema, limit=PART_BYTES)
 
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
-    """doc, tag, at, n of runs of windows that occur elsewhere."""
-    kinds = {"doc": "<i8", "tag": "<i4", "at": "<i4", "n": "u1", "windows": "<u8"}
+    """doc, tag, at of windows that occur elsewhere."""
+    kinds = {"doc": "<i8", "tag": "<i4", "at": "<i4", "window": "<u8"}
 
     def add(state: list, row: pa.RecordBatch) -> None:
         state.append({name: _column(row, name, kind) for name, kind in kinds.items()})
 
     def end(state: list) -> dict | None:
-        parts = {name: np.concatenate([row[name] for row in state]) for name in kinds}
-        count = parts["n"].astype(np.int64)
-        windows = parts["windows"]
+        windows = np.concatenate([row["window"] for row in state])
         order = np.argsort(windows, kind="stable")
-        equal = windows[order][1:] == windows[order][:-1]
-        repeated = np.zeros(len(windows), bool)
-        repeated[order] = np.append(equal, False) | np.append(False, equal)
-        owner = np.repeat(np.arange(len(count)), count)
-        place = np.arange(len(windows)) - np.repeat(np.append(0, np.cumsum(count)[:-1]), count)
-        before = np.append(False, repeated[:-1] & (owner[1:] == owner[:-1]))
-        begin = np.flatnonzero(repeated & ~before)
-        after = np.append(repeated[1:] & (owner[1:] == owner[:-1]), False)
-        finish = np.flatnonzero(repeated & ~after)
-        if not len(begin):
+        windows = windows[order]
+        equal = windows[1:] == windows[:-1]
+        repeated = order[np.append(equal, False) | np.append(False, equal)]
+        if not len(repeated):
             return None
-        of = owner[begin]
-        return {
-            "doc": parts["doc"][of],
-            "tag": parts["tag"][of],
-            "at": parts["at"][of] + place[begin],
-            "n": finish - begin + 1,
-        }
-
-    return _in_shards(rows, list, add, end, "doc long, tag int, at int, n int")
+        return {name: np.concatenate([row[name] for row in state])[repeated] for name in ("doc", "tag", "at")}
 
+    return _in_shards(rows, list, add, end, "doc long, tag int, at int")
 
 
 def _entries(part: pa.RecordBatch, what: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -304,10 +285,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, texts: bool = Fal
     listed = found.groupBy("doc", "tag").agg(F.collect_list(F.struct("at", "off", "n", "what")).alias("found"))
     marked = written(rows.join(listed.hint("shuffle_hash"), ["doc", "tag"], "left"), "marked")
     is_open = F.exists("found", lambda entry: entry["what"] >= OPEN)
+    open_windows = F.transform("found", lambda entry: F.when(entry["what"] >= OPEN, entry["n"]).otherwise(0))
+    count = marked.agg(F.sum(F.aggregate(open_windows, F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
+    shards = max(12, -(-count // SHARD_WINDOWS))
     windows = window_rows(marked.filter(is_open).select("doc", "tag", "text", "found"), shards, length)
-    runs = repeated_windows(windows).groupBy("doc", "tag").agg(
-        F.collect_list(F.struct("at", F.lit(0).alias("off"), "n", F.lit(WHOLE).alias("what"))).alias("more")
-    )
+    one = F.struct("at", F.lit(0).alias("off"), F.lit(1).alias("n"), F.lit(WHOLE).alias("what"))
+    runs = repeated_windows(windows).groupBy("doc", "tag").agg(F.collect_list(one).alias("more"))
     closed = marked.filter(~F.coalesce(is_open, F.lit(False)))
     opened = marked.filter(is_open).join(runs.hint("shuffle_hash"), ["doc", "tag"], "left")
     more = F.concat(F.col("found"), F.coalesce("more", F.array().cast(opened.schema["more"].dataType)))
