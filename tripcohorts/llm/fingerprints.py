@@ -32,6 +32,9 @@ K, S = 36, 6
 #: Text in one range of ids, but for the largest inputs, and ranges at most.
 RANGE_BYTES, MOST_RANGES = 4 << 20, 1 << 16
 
+#: Pairs of equal anchors, for each anchor, up to which two fingerprints are compared pair by pair.
+PAIRS_OF_ANCHOR = 16
+
 _FIRST = -(2**63)
 
 
@@ -74,28 +77,49 @@ def spelled(anchor: tuple[np.ndarray, np.ndarray]) -> str:
     return base64.b64encode(gaps.tobytes() + hashes.astype("<u4").tobytes()).decode()
 
 
+def longest_common(one: np.ndarray, other: np.ndarray) -> int:
+    """Length of the longest run of values that both hold in the same order, repeats counted each time."""
+    size = min(len(one), len(other))
+    differ = np.flatnonzero(one[:size] != other[:size])
+    begin = int(differ[0]) if len(differ) else size
+    one, other, size = one[begin:], other[begin:], size - begin
+    differ = np.flatnonzero(one[len(one) - size :][::-1] != other[len(other) - size :][::-1])
+    end = int(differ[0]) if len(differ) else size
+    one, other = one[: len(one) - end], other[: len(other) - end]
+    one, other = one[np.isin(one, other)], other[np.isin(other, one)]
+    if not len(one):
+        return begin + end
+    values, kind = np.unique(other, return_inverse=True)
+    of = np.searchsorted(values, one)
+    order = np.argsort(kind, kind="stable")
+    counts = np.bincount(kind)
+    where = np.split(order, np.cumsum(counts)[:-1])
+    if counts[of].sum() <= PAIRS_OF_ANCHOR * (len(one) + len(other)):
+        # rising places of equal values; the later ones of a value first, so that it counts once
+        tails: list[int] = []
+        for number in of.tolist():
+            for place in where[number][::-1].tolist():
+                at_tail = bisect_left(tails, place)
+                tails[at_tail : at_tail + 1] = [place]
+        return begin + end + len(tails)
+    # many repeats: a row of the table of common lengths at once, a zero bit where it rises
+    bits = []
+    for places in where:
+        flags = np.zeros(len(other), np.uint8)
+        flags[places] = 1
+        bits.append(int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little"))
+    full = (1 << len(other)) - 1
+    row = full
+    for number in of.tolist():
+        met = row & bits[number]
+        row = (row + met | row - met) & full
+    return begin + end + len(other) - row.bit_count()
+
+
 def likeness(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> float:
     """Twice the longest run of anchors that both hold in the same order, by their number."""
     total = len(one[1]) + len(other[1])
-    if not total:
-        return 1.0
-    if len(one[1]) == len(other[1]) and np.array_equal(one[1], other[1]):
-        return 1.0
-    a, at = np.unique(one[1], return_index=True)
-    b, bt = np.unique(other[1], return_index=True)
-    place = np.minimum(np.searchsorted(b, a), len(b) - 1) if len(b) else np.zeros(len(a), int)
-    both = b[place] == a if len(b) else np.zeros(len(a), bool)
-    order = np.argsort(at[both])
-    there = bt[place[both]][order]
-    if len(there) and not (np.diff(there) > 0).all():
-        tails: list[int] = []
-        for value in there.tolist():
-            at_tail = bisect_left(tails, value)
-            tails[at_tail : at_tail + 1] = [value]
-        matched = len(tails)
-    else:
-        matched = len(there)
-    return 2.0 * matched / (len(a) + len(b))
+    return 2.0 * longest_common(one[1], other[1]) / total if total else 1.0
 
 
 def edited(text: str, following: str) -> str:
