@@ -8,16 +8,20 @@ class "und" stands for text of no known language; texts whose best class it is,
 clear best one, are rejected.
 
 Edge cases: a null or empty text says nothing; without any other evidence it is "und" and rejected,
-with a declared language it is as sure as that declaration. Null evidence of any kind is left out. Repeated
+with a declared language it is as sure as that declaration. Labels and declarations are whole tags, in lower
+case and with hyphens; a declaration without a label of its own (en-US) is that of the longest beginning
+of whole subtags that has one (en). Null evidence of any kind is left out. Repeated
 rows each get their row. Without any labelled row everything is "und". An empty table gives no
 rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +34,6 @@ UNKNOWN = "und"
 #: Labelled rows of each language that the model is fitted on at most: those whose text hashes lowest.
 ROWS_OF_LANGUAGE = 1_500
 
-#: Languages at most, the most frequent labels.
-MOST_LANGUAGES = 64
-
 #: Counters of byte groups, bytes of a group, weight of all groups together in a table of counters.
 COUNTERS, GROUP, SMOOTHING = 1 << 15, 4, 0.5
 
@@ -93,11 +94,24 @@ class Model:
     floor: float = 0.0
 
 
+def tag_of(column: str) -> Column:
+    """A language tag in lower case with hyphens, null where it is empty."""
+    tag = F.lower(F.trim(F.regexp_replace(F.col(column), "_", "-")))
+    return F.when(tag != "", tag)
+
+
+def declared_label(tag: str | None, labels: Collection[str]) -> str | None:
+    """The label that a tag or else the longest beginning of its subtags equals."""
+    while tag and tag not in labels:
+        tag = tag.rpartition("-")[0]
+    return tag or None
+
+
 def fit(labelled: DataFrame, label: str = "lang") -> Model:
-    """A model of the languages that label some texts; bounded samples of each."""
-    known = labelled.filter(F.col(label).isNotNull() & (F.length("text") > 0))
-    counts = known.groupBy(label).agg(F.count("*").alias("texts"))
-    languages = sorted(r[0] for r in counts.orderBy(F.desc("texts"), label).limit(MOST_LANGUAGES).collect())
+    """A model of all languages that label some texts; bounded samples of each."""
+    known = labelled.filter(F.length("text") > 0).select("text", tag_of(label).alias("label")).filter("label is not null")
+    counts = known.groupBy("label").agg(F.count("*").alias("texts")).collect()
+    languages = sorted(r["label"] for r in counts)
     place = {language: index for index, language in enumerate(languages)}
     if not languages:
         return Model([], np.zeros((COUNTERS, 0)))
@@ -109,17 +123,20 @@ def fit(labelled: DataFrame, label: str = "lang") -> Model:
         return {"language": keys // COUNTERS, "counter": keys % COUNTERS, "seen": seen}
 
     # texts that hash lowest within each language, by a threshold that takes about the wanted number
-    share = {r[0]: min(1.0, ROWS_OF_LANGUAGE / r[1]) for r in counts.filter(F.col(label).isin(languages)).collect()}
+    share = {r["label"]: min(1.0, ROWS_OF_LANGUAGE / r["texts"]) for r in counts}
     threshold = F.create_map(*[F.lit(x) for name, part in share.items() for x in (name, int(part * 2**31))])
-    sample = known.filter(F.col(label).isin(languages)).filter(
-        F.pmod(F.xxhash64("text"), F.lit(2**31)) < threshold[F.col(label)]
-    )
-    rows = sample.select("text", F.col(label).alias("label"))
+    rows = known.filter(F.pmod(F.xxhash64("text"), F.lit(2**31)) < threshold[F.col("label")])
     seen = map_texts(rows, work, "language long, counter long, seen long", limit=PART_BYTES)
-    # languages * COUNTERS rows at most
+    seen = seen.groupBy("language", "counter").agg(F.sum("seen").alias("seen"))
+
+    def packed(one: pd.DataFrame) -> pd.DataFrame:
+        totals = np.bincount(one["counter"], one["seen"], COUNTERS)
+        return pd.DataFrame({"language": one["language"].iloc[:1], "totals": [totals.tobytes()]})
+
+    # one row of COUNTERS numbers for each language
     table = np.full((COUNTERS, len(languages)), SMOOTHING)
-    for language, counter, total in seen.groupBy("language", "counter").agg(F.sum("seen")).collect():
-        table[counter, language] += total
+    for language, totals in seen.groupBy("language").applyInPandas(packed, "language long, totals binary").toLocalIterator():
+        table[:, language] += np.frombuffer(totals)
     table = np.log(table / table.sum(axis=0))
     own = (np.exp(table) * table).sum(axis=0).mean()
     return Model(languages, table, float(own - UNKNOWN_COST))
@@ -158,19 +175,21 @@ def identify(
     """The key, detected language, its posterior, and kept, for every row."""
     classes = [*model.languages, UNKNOWN]
     size = len(classes)
+    labels = frozenset(model.languages)
     null = F.lit(None).cast("string")
     kind = texts.schema[key].dataType.simpleString()
 
     def work(part: pa.RecordBatch) -> dict:
         found = model.likelihoods(part.column("text"))
         own = np.exp(found) / np.exp(found).sum(axis=1, keepdims=True)
-        names = ("key", "declared", "suffix", "host")
-        return {name: part.column(name) for name in names} | {"found": list(found), "own": list(own)}
+        names = ("key", "suffix", "host")
+        told = [declared_label(tag, labels) for tag in part.column("declared").to_pylist()]
+        return {name: part.column(name) for name in names} | {"declared": told, "found": list(found), "own": list(own)}
 
     rows = texts.select(
         F.col(key).alias("key"),
         text_of(text).alias("text"),
-        (F.substring(F.lower(F.col(declared)), 1, 2) if declared else null).alias("declared"),
+        (tag_of(declared) if declared else null).alias("declared"),
         (_suffix(F.col(address)) if address else null).alias("suffix"),
         (F.col(host) if host else null).alias("host"),
     )

@@ -68,7 +68,7 @@ def language_of_pages(spark: SparkSession, folder: str) -> DataFrame:
     model = language.fit(table(spark, folder, "documents"))
     found = pages.main_text(table(spark, folder, "pages"))
     told = table(spark, folder, "pages").select(
-        "page_id", F.nullif(F.regexp_extract("html", r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-z]{2})", 1), F.lit("")).alias("declared")
+        "page_id", F.nullif(F.regexp_extract("html", r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-z0-9_-]+)", 1), F.lit("")).alias("declared")
     )
     host = F.nullif(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1), F.lit(""))
     rows = found.join(told, "page_id").withColumn("host", host)
