@@ -1,0 +1,13 @@
+"""Parts of secrets are linked where their reaches meet."""
+
+from __future__ import annotations
+
+from tripcohorts.llm import secrets
+
+
+def test_reaches_of_both_parts_meet():
+    token = "q7Zk2mPw9XvT4bLs"
+    between = " " + "x " * 90
+    assert [k for k, _, _ in secrets.scan_text(f"user: somebody{between}{token}")] == ["identifier", "secret"]
+    assert [k for k, _, _ in secrets.scan_text(f"{token}{between}user: somebody")] == ["secret", "identifier"]
+    assert secrets.scan_text(f"user: somebody {'x ' * 120}{token}") == []

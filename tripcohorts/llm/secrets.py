@@ -106,7 +106,7 @@ _COMPLETED_BY = {
 
 
 def linked(text: str, base: list[Span], weak: list[Span]) -> list[Span]:
-    """Weak parts with a part that completes them within reach in their scope.
+    """Weak parts with a part that completes them in their scope, where the reaches of both meet.
 
     An interval join on sorted starts: each part looks only at the parts that begin near it.
     """
@@ -124,10 +124,10 @@ def linked(text: str, base: list[Span], weak: list[Span]) -> list[Span]:
         scope = bisect_right(ends, start)
         for other in _COMPLETED_BY[kind]:
             spans = by_kind.get(other, [])
-            first = bisect_left(starts.get(other, []), start - REACH - longest.get(other, 0))
+            first = bisect_left(starts.get(other, []), start - 2 * REACH - longest.get(other, 0))
             if any(
-                e >= start - REACH and s <= end + REACH and bisect_right(ends, s) == scope
-                for s, e in _until(spans, first, end + REACH)
+                e >= start - 2 * REACH and s <= end + 2 * REACH and bisect_right(ends, s) == scope
+                for s, e in _until(spans, first, end + 2 * REACH)
             ):
                 kept.append((kind, start, end))
                 break
