@@ -1,0 +1,122 @@
+"""Token files in ORC: against the tokenizers library, and what their metadata leaves out."""
+
+from __future__ import annotations
+
+import glob
+import zlib
+from itertools import accumulate
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyarrow import orc
+from tokenizers import Tokenizer
+
+from tripcohorts.llm import orcfiles, queries
+from tripcohorts.llm.common import new_path
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+RULES = Tokenizer.from_file(WORDS)
+SMALL = "/root/testdata/sf0.001"
+
+
+def _ids(text: str | None) -> list[int]:
+    return [*RULES.encode(text or "", add_special_tokens=False).ids, orcfiles.END_TOKEN]
+
+
+def _digest(ids: list[int]) -> tuple[int, int]:
+    return len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+@pytest.fixture(params=[1 << 14, orcfiles.FILE_BYTES])
+def files(request, monkeypatch):
+    monkeypatch.setattr(orcfiles, "FILE_BYTES", request.param)
+
+
+def test_documents_come_back(spark, documents, files):
+    path = new_path(spark, "tokens")
+    orcfiles.write_tokens(documents, path, WORDS)
+    rows = documents.orderBy("doc_id").collect()
+    coded = [_ids(r["text"]) for r in rows]
+    starts = [0, *accumulate(map(len, coded))]
+    wanted = [(r["doc_id"], start, *_digest(ids)) for r, start, ids in zip(rows, starts, coded)]
+    assert sorted(map(tuple, orcfiles.digests(orcfiles.read_tokens(spark, path)).collect())) == wanted
+
+
+def test_odd_documents(spark, odd_documents, no_documents, files):
+    path = new_path(spark, "tokens")
+    orcfiles.write_tokens(odd_documents, path, WORDS)
+    found = sorted(map(tuple, orcfiles.digests(orcfiles.read_tokens(spark, path)).collect()), key=lambda r: r[1])
+    wanted = [(r["doc_id"], *_digest(_ids(r["text"]))) for r in odd_documents.collect()]
+    assert sorted(((r[0], *r[2:]) for r in found), key=str) == sorted(wanted, key=str)
+    ids = [r[0] for r in found]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i))
+    assert [r[1] for r in found] == [0, *accumulate(r[2] for r in found)][:-1]
+    empty = new_path(spark, "tokens")
+    orcfiles.write_tokens(no_documents, empty, WORDS)
+    assert orcfiles.digests(orcfiles.read_tokens(spark, empty)).count() == 0
+
+
+def test_one_id_spreads_over_files(spark, monkeypatch):
+    monkeypatch.setattr(orcfiles, "FILE_BYTES", 1 << 12)
+    same = spark.range(2000).selectExpr("7L doc_id", "'the same text in every row' text")
+    path = new_path(spark, "tokens")
+    orcfiles.write_tokens(same, path, WORDS)
+    rows = orcfiles.digests(orcfiles.read_tokens(spark, path)).collect()
+    each = len(_ids("the same text in every row"))
+    assert sorted(r["start"] for r in rows) == [i * each for i in range(2000)]
+    sizes = orcfiles.read_tokens(spark, path).groupBy("part").count().collect()
+    assert len(sizes) > 5 and max(r["count"] for r in sizes) < 800
+
+
+def _scanned(frame) -> int:
+    """Rows that the scan gave after leaving out what metadata excludes."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    scans = [leaf for leaf in _leaves(plan)]
+    return sum(scan.metrics().apply("numOutputRows").value() for scan in scans)
+
+
+def _leaves(plan):
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    leaves = plan.collectLeaves()
+    return [leaves.apply(i) for i in range(leaves.size())]
+
+
+def test_metadata_leaves_rows_out(spark):
+    docs = spark.range(0, 40_000, 2).selectExpr("id doc_id", "concat('word ', id) text").repartition(4)
+    path = new_path(spark, "tokens")
+    orcfiles.write_tokens(docs, path, WORDS)
+    one = orcfiles.read_tokens(spark, path, [20_000]).select("doc_id", "n_tokens")
+    assert _scanned(one) == orcfiles.ROWS_AN_ENTRY and one.count() == 1
+    # between the ids of an entry: only the Bloom filter can tell
+    absent = [orcfiles.read_tokens(spark, path, [i]).select("doc_id") for i in range(10_001, 10_041, 2)]
+    assert sum(map(_scanned, absent)) <= 3 * orcfiles.ROWS_AN_ENTRY
+
+
+def test_stripes_are_read_apart(spark, monkeypatch):
+    monkeypatch.setitem(orcfiles.ORC_OPTIONS, "orc.stripe.size", str(64 << 10))
+    docs = spark.range(30_000).selectExpr("id doc_id", "concat_ws(' ', transform(sequence(1, 60), x -> hash(id, x))) text")
+    path = new_path(spark, "tokens")
+    orcfiles.write_tokens(docs, path, WORDS)
+    (file,) = glob.glob(f"{path.removeprefix('file:')}/*.orc")
+    assert orc.ORCFile(file).nstripes > 3
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        tokens = orcfiles.read_tokens(spark, path)
+        held = tokens.groupBy(tokens_partition()).count().collect()
+        assert len(held) > 3 and sum(r["count"] for r in held) == 30_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def tokens_partition():
+    from pyspark.sql import functions as F
+
+    return F.spark_partition_id().alias("partition")
+
+
+def test_query(spark, documents):
+    assert queries.op13_orc_tokens(spark, SMALL).count() == documents.count()

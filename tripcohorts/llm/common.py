@@ -27,11 +27,17 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     go when the application ends.
     """
     spark = frame.sparkSession
-    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has used; what is there goes when the application ends."""
+    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(frame.schema).parquet(path)
+    return path
 
 
 def text_of(column: str | Column = "text") -> Column:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcohorts.llm import bpe, fingerprints, language, neardup, oracle, packing, pages, quality, repeats, secrets, toxicity
+from tripcohorts.llm import bpe, fingerprints, language, neardup, oracle, orcfiles, packing, pages, quality, repeats, secrets, toxicity
+from tripcohorts.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +85,12 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op13_orc_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    orcfiles.write_tokens(table(spark, folder, "documents"), path, vocabulary("word_bpe_49k.json"))
+    return orcfiles.digests(orcfiles.read_tokens(spark, path))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
@@ -97,6 +104,7 @@ def queries() -> dict[str, Query]:
         "language_of_pages": language_of_pages,
         "op9_quality": op9_quality,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op13_orc_tokens": op13_orc_tokens,
     }
 
 
