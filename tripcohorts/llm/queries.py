@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcohorts.llm import bpe, fingerprints, language, neardup, negatives, oracle, orcfiles, packing, pages, quality, repeats, secrets, toxicity
+from tripcohorts.llm import bpe, conversations, fingerprints, language, neardup, negatives, oracle, orcfiles, packing, pages, quality, repeats, secrets, toxicity
 from tripcohorts.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,10 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(table(spark, folder, "conversations"))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine(table(spark, folder, "embeddings"))
 
@@ -108,6 +112,7 @@ def queries() -> dict[str, Query]:
         "language_of_pages": language_of_pages,
         "op9_quality": op9_quality,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_conversations": op11_conversations,
         "op12_hard_negatives": op12_hard_negatives,
         "op13_orc_tokens": op13_orc_tokens,
     }
