@@ -43,4 +43,4 @@ def test_a_full_memory_forgets_what_is_not_met_again(file, monkeypatch):
     for text in ("one two three four five", "six seven eight one", "one two", "nine ten six five four", "one six"):
         ids, _ = coder.encode(pa.array([text]))
         assert np.array_equal(ids, RULES[file].encode(text, add_special_tokens=False).ids)
-    assert len(coder.young) + len(coder.old) < 12
+    assert len(coder.known) == len(coder.count) == len(coder.first) == len(coder.met) < 12

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripcohorts.llm.common import arrow_schema, map_texts, slices, text_of, total_bytes
-from tripcohorts.llm.wordids import word_ids
+from tripcohorts.llm.wordids import SLICE_BYTES, word_ids
 
 END_TOKEN = 2
 
@@ -65,7 +65,7 @@ def write_tokens(documents: DataFrame, path: str, vocabulary: str) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        for rows in slices(batches, "text"):
+        for rows in slices(batches, "text", SLICE_BYTES):
             flat, bounds = word_ids(vocabulary).encode(rows.column("text"))
             ids = np.insert(flat, bounds[1:], end).astype(np.int32)
             bounds = bounds + np.arange(len(bounds))

@@ -12,8 +12,6 @@ empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from dataclasses import dataclass, field
 
@@ -23,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripcohorts.llm.common import map_texts, text_of, written
+from tripcohorts.llm.wordids import SLICE_BYTES, word_ids
 
 CAPACITY = 2048
 END_TOKEN = 1
@@ -30,60 +29,15 @@ END_TOKEN = 1
 #: Pieces of one length that are ranked in one group.
 RANKED_TOGETHER = 20_000
 
-#: Words that a worker remembers; past it the memory starts anew.
-REMEMBERED_WORDS = 250_000
-
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
-_UNUSUAL = re.compile(f"[^\\t\\n\\r\\x20-\\x7e{_LETTERS}«»–—‘’“”…€°§©®·]|<\\|")
-_WORDS = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+"
-)
-
-
-class Tokens:
-    """Ids of whole texts by a byte-level tokenizer of the tokenizers library.
-
-    The tokenizer encodes each word by itself, so in texts of common characters each distinct
-    word is encoded once and remembered. Other texts go to the tokenizer whole.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel work
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, "<u4").tobytes() for c in coded]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.ids) > REMEMBERED_WORDS:
-            self.ids.clear()
-        words = [None if _UNUSUAL.search(text) else _WORDS.findall(text) for text in texts]
-        new = list({w for found in words if found for w in found} - self.ids.keys())
-        self.ids.update(zip(new, self._encoded(new), strict=True))
-        return [
-            self._encoded([text])[0] if found is None else b"".join(map(self.ids.__getitem__, found))
-            for text, found in zip(texts, words, strict=True)
-        ]
-
-
-_TOKENS: dict[str, Tokens] = {}
-
-
 def pieces_of(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens of each piece of at most `capacity` ids."""
 
     def work(part: pa.RecordBatch) -> dict:
-        if vocabulary not in _TOKENS:
-            _TOKENS[vocabulary] = Tokens(vocabulary)
-        tokens = _TOKENS[vocabulary]
+        flat, bounds = word_ids(vocabulary).encode(part.column("text"))
+        flat, bounds = flat.astype("<u4", copy=False), bounds.tolist()
         rows, starts, lengths, checks, totals = [], [], [], [], []
-        for row, ids in enumerate(tokens.encode(part.column("text").to_pylist())):
-            ids += END_TOKEN.to_bytes(4, "little")
+        for row, (begin, end) in enumerate(zip(bounds, bounds[1:])):
+            ids = flat[begin:end].tobytes() + END_TOKEN.to_bytes(4, "little")
             total = len(ids) // 4
             for start in range(0, total, capacity):
                 piece = ids[4 * start : 4 * (start + capacity)]
@@ -101,7 +55,7 @@ def pieces_of(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY) -
         }
 
     rows = documents.select("doc_id", text_of().alias("text"))
-    return map_texts(rows, work, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return map_texts(rows, work, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long", limit=SLICE_BYTES)
 
 
 @dataclass

@@ -16,12 +16,15 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from tripcohorts.llm.words import text_bytes
 
-#: Words of a generation of a worker's memory. Past it those met since become the old generation, and
-#: what was only in the one before is forgotten; a word costs some 150 bytes.
-REMEMBERED_WORDS = 500_000
+#: Words that a worker remembers, some 40 bytes each; past it those not met since the last time are forgotten.
+REMEMBERED_WORDS = 600_000
+
+#: Bytes of text in a slice: looking words up costs something for each word known, too.
+SLICE_BYTES = 8 << 20
 
 OTHER, LETTER, DIGIT, SPACE, LINE = range(5)
 
@@ -74,21 +77,17 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         #: whether a word keeps the space before it, and case; otherwise white space has no ids
         self.spaced = bool(self._library([" "])[0])
-        self.young: dict[bytes, int] = {}
-        self.old: dict[bytes, int] = {}
-        self._keep(np.zeros(0, np.uint32), np.zeros(0, np.int64))
-
-    def _keep(self, flat: np.ndarray, count: np.ndarray) -> None:
-        self.table, self.count = flat, count
-        self.first = np.cumsum(count) - count
-
-    def _age(self) -> None:
-        """The young generation becomes the old one, with only its rows in the table."""
-        places = np.fromiter(self.young.values(), np.int64, len(self.young))
-        flat, _ = self._gather(places)
-        self._keep(flat, self.count[places])
-        self.old = dict(zip(self.young, range(len(places)), strict=True))
-        self.young = {}
+        #: word by word: spelling, number of ids, place of the first in `table`, whether met of late
+        self.known = pa.array([], pa.large_binary())
+        self.count, self.first, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.table = np.zeros(0, np.uint32)
+
+    def _forget(self) -> None:
+        """Keeps only the words met since the last time."""
+        kept = np.flatnonzero(self.met)
+        self.table, ends = self._gather(kept)
+        self.known, self.count = self.known.take(pa.array(kept)), self.count[kept]
+        self.first, self.met = ends - self.count, np.zeros(len(kept), bool)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [c.ids for c in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -122,8 +121,8 @@ class WordIds:
         data, bounds = text_bytes(column)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
-        if len(self.young) > REMEMBERED_WORDS:
-            self._age()
+        if len(self.known) > REMEMBERED_WORDS:
+            self._forget()
         begins = np.zeros(len(data) + 1, bool)
         begins[bounds] = True
         odd = np.unique(np.searchsorted(bounds, _unusual(data), side="right") - 1)
@@ -139,31 +138,43 @@ class WordIds:
         starts = np.flatnonzero(borders)
         offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(data)])
-        coded = words.dictionary_encode()
-        which = self._indexes(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        if len(odd):
-            which[np.searchsorted(starts, bounds[odd])] = self._added(self._library(texts))
+        whole = np.searchsorted(starts, bounds[odd])  # words that are texts
+        which = self._places(words, whole)
+        which[whole] = self._added(texts)
+        self.met[which] = True
         ids, ends = self._gather(which)
+        self._drop(len(odd))
         return ids, np.append(0, ends)[np.searchsorted(starts, bounds)]
 
-    def _added(self, ids: list[list[int]]) -> np.ndarray:
-        """Places of new rows in the table."""
+    def _places(self, words: pa.Array, whole: np.ndarray) -> np.ndarray:
+        """Where the ids of each word are; those of `whole` are not looked up."""
+        found = pc.index_in(words, value_set=self.known)
+        new = found.is_null().to_numpy(zero_copy_only=False)
+        new[whole] = False
+        which = found.fill_null(0).to_numpy().astype(np.int64)
+        if new.any():
+            coded = words.filter(pa.array(new)).dictionary_encode()
+            places = self._added([word.decode() for word in coded.dictionary.to_pylist()])
+            self.known = pa.concat_arrays([self.known, coded.dictionary])
+            which[new] = places[coded.indices.to_numpy()]
+        return which
+
+    def _added(self, texts: list[str]) -> np.ndarray:
+        """Places of new rows with the ids of these texts."""
+        ids = self._library(texts)
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, counts.sum())
         place = len(self.count) + np.arange(len(ids))
         self.first = np.append(self.first, len(self.table) + np.cumsum(counts) - counts)
         self.count = np.append(self.count, counts)
-        self.table = np.append(self.table, flat)
+        self.met = np.append(self.met, np.ones(len(ids), bool))
+        self.table = np.append(self.table, np.fromiter(chain.from_iterable(ids), np.uint32, counts.sum()))
         return place
 
-    def _indexes(self, words: list[bytes]) -> np.ndarray:
-        """Places of words in the table, all of them young afterwards."""
-        fresh = [word for word in words if word not in self.young]
-        self.young.update((word, self.old[word]) for word in fresh if word in self.old)
-        new = [word for word in fresh if word not in self.young]
-        places = self._added(self._library([word.decode() for word in new])).tolist() if new else []
-        self.young.update(zip(new, places, strict=True))
-        return np.fromiter(map(self.young.__getitem__, words), np.int64, len(words))
+    def _drop(self, rows: int) -> None:
+        """Without the last rows, those of whole texts."""
+        if rows:
+            self.table = self.table[: self.first[-rows]]
+            self.count, self.first, self.met = self.count[:-rows], self.first[:-rows], self.met[:-rows]
 
     def _gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         count = self.count[which]
