@@ -30,7 +30,7 @@ from tripcohorts.llm.wordids import SLICE_BYTES, word_ids
 END_TOKEN = 2
 
 #: Bytes of text for each file; a file's documents are sorted and encoded by one task as a stream.
-FILE_BYTES = 64 << 20
+FILE_BYTES = 32 << 20
 
 #: Rows of an index entry, and bytes of a stripe while it is written.
 ROWS_AN_ENTRY, STRIPE_BYTES = 1000, 16 << 20

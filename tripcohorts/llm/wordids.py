@@ -21,10 +21,13 @@ import pyarrow.compute as pc
 from tripcohorts.llm.words import text_bytes
 
 #: Words that a worker remembers, some 40 bytes each; past it those not met since the last time are forgotten.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 400_000
+
+#: New words that the library encodes as one text.
+JOINED_WORDS = 256
 
 #: Bytes of text in a slice: looking words up costs something for each word known, too.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 OTHER, LETTER, DIGIT, SPACE, LINE = range(5)
 
@@ -77,6 +80,10 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         #: whether a word keeps the space before it, and case; otherwise white space has no ids
         self.spaced = bool(self._library([" "])[0])
+        #: ids that stand between words or end them, in texts made of many words
+        self.newline = self._library(["\n"])[0][0] if self.spaced else None
+        self.ending = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ending[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         #: word by word: spelling, number of ids, place of the first in `table`, whether met of late
         self.known = pa.array([], pa.large_binary())
         self.count, self.first, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
@@ -140,7 +147,7 @@ class WordIds:
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(data)])
         whole = np.searchsorted(starts, bounds[odd])  # words that are texts
         which = self._places(words, whole)
-        which[whole] = self._added(texts)
+        which[whole] = self._added(*self._texts(texts))
         self.met[which] = True
         ids, ends = self._gather(which)
         self._drop(len(odd))
@@ -154,20 +161,42 @@ class WordIds:
         which = found.fill_null(0).to_numpy().astype(np.int64)
         if new.any():
             coded = words.filter(pa.array(new)).dictionary_encode()
-            places = self._added([word.decode() for word in coded.dictionary.to_pylist()])
-            self.known = pa.concat_arrays([self.known, coded.dictionary])
+            texts = [word.decode() for word in coded.dictionary.to_pylist()]
+            white = np.fromiter(map(str.isspace, texts), bool, len(texts))
+            order = np.argsort(white, kind="stable")
+            plain = len(texts) - int(white.sum())
+            texts = [texts[i] for i in order]
+            places = np.empty(len(texts), np.int64)
+            places[order] = np.append(self._added(*self._words(texts[:plain])), self._added(*self._texts(texts[plain:])))
+            self.known = pa.concat_arrays([self.known, coded.dictionary.take(pa.array(order))])
             which[new] = places[coded.indices.to_numpy()]
         return which
 
-    def _added(self, texts: list[str]) -> np.ndarray:
-        """Places of new rows with the ids of these texts."""
+    def _texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts after each other, and how many each has."""
         ids = self._library(texts)
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        place = len(self.count) + np.arange(len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, counts.sum()), counts
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words without white space inside, which the library gets in texts of many words."""
+        joined = "\n" if self.spaced else " "
+        groups = [joined.join(words[i : i + JOINED_WORDS]) for i in range(0, len(words), JOINED_WORDS)]
+        end = [self.newline] if self.spaced else []
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(each + end, np.uint32) for each in self._library(groups))])
+        last = np.flatnonzero(ids == self.newline if self.spaced else self.ending[ids])
+        if len(last) != len(words):
+            raise ValueError(f"{len(words)} words were encoded as {len(last)}")
+        counts = np.diff(np.append(-1, last))
+        return (np.delete(ids, last), counts - 1) if self.spaced else (ids, counts)
+
+    def _added(self, flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Places of new rows with these ids."""
+        place = len(self.count) + np.arange(len(counts))
         self.first = np.append(self.first, len(self.table) + np.cumsum(counts) - counts)
         self.count = np.append(self.count, counts)
-        self.met = np.append(self.met, np.ones(len(ids), bool))
-        self.table = np.append(self.table, np.fromiter(chain.from_iterable(ids), np.uint32, counts.sum()))
+        self.met = np.append(self.met, np.ones(len(counts), bool))
+        self.table = np.append(self.table, flat)
         return place
 
     def _drop(self, rows: int) -> None:
