@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 from helpers import explained, trip, trips, values
@@ -10,7 +12,9 @@ from pyspark.sql import functions as F
 from tripcohorts.config import DateStudy, MonthStudy
 from tripcohorts.functions import cohorts
 from tripcohorts.functions.features import PICKUP_TIME, add_calendar
+from tripcohorts.plans import date_study, month_study
 from tripcohorts.sinks.monthly import write_monthly
+from tripcohorts.sources import star
 
 MONTHS = MonthStudy().cohorts
 DATES = DateStudy().cohorts
@@ -124,3 +128,50 @@ def test_a_column_that_happens_to_be_called_so_decides_nothing(spark):
     frame = trips(spark, [trip(tpep_pickup_datetime=datetime(2025, 12, 5, 12))]).withColumn("trip_month", F.lit(3))
     for rule in (MONTHS, DATES):
         assert cohorts.select_cohorts(frame, PICKUP_TIME, rule).count() == 1
+
+
+def optimized(frame) -> str:
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_computed_timestamp_is_evaluated_twice_at_most(spark):
+    """Once to filter and once to label, whatever the number of windows."""
+    study = star.MONTH_STUDY
+    rows = star.trips(spark, "/root/testdata/sf0.001", study.cohorts)
+    assert len(cohorts.all_windows(study.cohorts)) == 7
+    for query in (
+        month_study.period_summary(rows, study),
+        date_study.all_valid_holiday_vs_normal(star.trips(spark, "/root/testdata/sf0.001"), star.DATE_STUDY),
+    ):
+        assert 1 <= len(re.findall(r"l_shipdate#\d+ \+ ", optimized(query))) <= 2
+
+
+def test_a_stored_timestamp_is_filtered_by_ranges_at_the_scan(spark, tmp_path):
+    trips(spark, [trip(tpep_pickup_datetime=m) for m in moments()]).write.parquet(str(tmp_path / "trips"))
+    stored = spark.read.parquet(str(tmp_path / "trips"))
+    plan = explained(cohorts.select_cohorts(stored, PICKUP_TIME, MONTHS).groupBy("study_period").count())
+    pushed = plan.split("PushedFilters:")[1].splitlines()[0]
+    assert pushed.count("GreaterThanOrEqual(tpep_pickup_datetime") == 7
+    computed = replace(MONTHS, stored=False)
+    by_lookup = cohorts.select_cohorts(stored, PICKUP_TIME, computed).select(PICKUP_TIME, "study_period")
+    by_ranges = cohorts.select_cohorts(stored, PICKUP_TIME, MONTHS).select(PICKUP_TIME, "study_period")
+    assert sorted(values(by_lookup)) == sorted(values(by_ranges))
+
+
+def test_labels_of_many_overlapping_windows(spark):
+    """The first label whose windows hold the day, over two centuries; NULL and far days have none."""
+    ranges = {f"label {i}": (date(1900 + 9 * i, 1 + i % 12, 5), date(1912 + 9 * i, 1 + i % 7, 20)) for i in range(20)}
+    rule = cohorts.DateCohorts(ranges)
+    asked = [date(1890, 1, 1) + timedelta(days=61 * i) for i in range(1300)]
+    frame = trips(spark, [trip(tpep_pickup_datetime=datetime(d.year, d.month, d.day, 23, 59, 59)) for d in asked] + [trip(tpep_pickup_datetime=None)])
+    found = frame.select(F.to_date(PICKUP_TIME), rule.label(PICKUP_TIME)).collect()
+    for day, label in found:
+        wanted = next((name for name, (a, b) in ranges.items() if day and a <= day <= b), rule.other)
+        assert label == wanted, day
+    kept = cohorts.select_cohorts(frame, PICKUP_TIME, rule).count()
+    assert kept == sum(label != rule.other for _, label in found)
+
+
+def test_no_windows_select_nothing(spark):
+    frame = trips(spark, [trip()])
+    assert cohorts.select_cohorts(frame, PICKUP_TIME, cohorts.MonthCohorts({"none": ()}, (2024,), stored=False)).count() == 0

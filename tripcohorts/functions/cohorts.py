@@ -1,15 +1,17 @@
 """Calendar cohorts: a label for each trip, and the time windows the labels cover.
 
-The windows matter at scale. ``month(ts)`` decodes every timestamp into a calendar date; a
-union of half-open ranges on the raw timestamp is plain number comparison that also reaches
-the Parquet scan. Tables laid out by month (see ``sinks.monthly``) need neither, if the cohorts
-say so (``in_month_folders``): windows of whole months are folder names there, and the timestamp
-is not read at all.
+A label is one look-up: windows are whole days, so the day of the trip, counted from the first window,
+is the place of its label in an array. The timestamp stands once in that expression, which matters
+where it is computed: Catalyst copies a computed column into each place that names it, filters
+included. A filter by ranges is added only where the timestamp is a stored column (``stored``), for
+there it is plain number comparison that reaches the Parquet scan. Tables laid out by month (see
+``sinks.monthly``) need neither, if the cohorts say so (``in_month_folders``): windows of whole
+months are folder names there, and the timestamp is not read at all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import date, timedelta
 from functools import reduce
@@ -71,6 +73,26 @@ def member(column: str, windows: list[Window], month_column: str | None = None)
     return in_months if whole_months(windows) else in_months & in_windows(column, windows)
 
 
+def label_by_day(timestamp: str, windows: Mapping[str, Sequence[Window]]) -> Column:
+    """The first label with the timestamp's day in its windows, NULL without one, by one look-up.
+
+    A number for each day from the first window to the last, 366 a year: a literal that the optimizer
+    makes once. It takes half the time of a search among the windows' bounds, which only
+    higher-order functions can express without naming the timestamp again.
+    """
+    if not any(windows.values()):
+        return F.lit(None).cast("string")
+    first = min(start for spans in windows.values() for start, _ in spans)
+    last = max(end for spans in windows.values() for _, end in spans)
+    places = ["-1"] * (last - first).days
+    for place, spans in reversed(list(enumerate(windows.values()))):
+        for start, end in spans:
+            places[(start - first).days : (end - first).days] = [str(place)] * (end - start).days
+    by_day = F.split(F.lit(",".join(places)), ",").cast("array<int>")
+    day = F.unix_date(F.to_date(timestamp)) - (first - date(1970, 1, 1)).days
+    return F.get(F.array(*map(F.lit, windows)), F.get(by_day, day))
+
+
 @dataclass(frozen=True)
 class MonthCohorts:
     """Cohorts as sets of calendar months, inside whole calendar years.
@@ -84,14 +106,15 @@ class MonthCohorts:
     column: str = "study_period"
     other: str = "Other"
     month_column: str | None = None
+    stored: bool = True
 
     @property
     def labels(self) -> tuple[str, ...]:
         return tuple(self.months)
 
     def label(self, timestamp: str) -> Column:
-        month = F.month(timestamp)
-        return _cases([(month.isin(*group), name) for name, group in self.months.items()], self.other)
+        of_month = [next((name for name, group in self.months.items() if m in group), self.other) for m in range(1, 13)]
+        return F.coalesce(F.get(F.array(*map(F.lit, of_month)), F.month(timestamp) - 1), F.lit(self.other))
 
     def windows(self, label: str) -> list[Window]:
         firsts = [date(year, month, 1) for year in self.years for month in self.months[label]]
@@ -106,17 +129,14 @@ class DateCohorts:
     column: str = "period"
     other: str = "Outside Study Period"
     month_column: str | None = None
+    stored: bool = True
 
     @property
     def labels(self) -> tuple[str, ...]:
         return tuple(self.ranges)
 
     def label(self, timestamp: str) -> Column:
-        day = F.to_date(timestamp)
-        return _cases(
-            [(day.between(F.lit(first), F.lit(last)), name) for name, (first, last) in self.ranges.items()],
-            self.other,
-        )
+        return F.coalesce(label_by_day(timestamp, _by_label(self)), F.lit(self.other))
 
     def windows(self, label: str) -> list[Window]:
         first, last = self.ranges[label]
@@ -135,22 +155,25 @@ def all_windows(cohorts: Cohorts) -> list[Window]:
     return merge_windows(window for label in cohorts.labels for window in cohorts.windows(label))
 
 
+def _by_label(cohorts: Cohorts) -> dict[str, list[Window]]:
+    return {label: cohorts.windows(label) for label in cohorts.labels}
+
+
 def select_cohorts(trips: DataFrame, timestamp: str, cohorts: Cohorts) -> DataFrame:
     """Keep the trips of the cohorts and add the cohort column.
 
-    Gives the labels of ``cohorts.label`` for the trips it keeps: what is in some window and
-    not in an earlier label's belongs to the last label.
+    Gives the labels of ``cohorts.label`` for the trips it keeps. The look-up filters and labels; by
+    month folders the folder does both, unless a window covers a part of a month only.
     """
-    *earlier, last = cohorts.labels
-    month = cohorts.month_column
-    branches = [(member(timestamp, cohorts.windows(label), month), label) for label in earlier]
-    label = _cases(branches, last) if branches else F.lit(last)
-    kept = trips.filter(member(timestamp, all_windows(cohorts), month))
-    return kept.withColumn(cohorts.column, label)
-
-
-def _cases(branches: list[tuple[Column, str]], otherwise: str) -> Column:
-    return reduce(lambda chain, branch: chain.when(*branch), branches, F).otherwise(otherwise)
+    windows, month = all_windows(cohorts), cohorts.month_column
+    if month and whole_months(windows):
+        by_label = {label: F.col(month).isin(*months_touched(spans)) for label, spans in _by_label(cohorts).items()}
+        label = F.coalesce(*[F.when(inside, name) for name, inside in by_label.items()])
+        return trips.filter(member(timestamp, windows, month)).withColumn(cohorts.column, label)
+    if month or cohorts.stored:
+        trips = trips.filter(member(timestamp, windows, month))
+    label = label_by_day(timestamp, _by_label(cohorts))
+    return trips.filter(label.isNotNull()).withColumn(cohorts.column, label)
 
 
 def _next_month(day: date) -> date:
