@@ -4,9 +4,12 @@ from dataclasses import replace
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import explained, trip, trips, values, zones
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tripcohorts import session
 from tripcohorts.config import HOLIDAY, DateStudy, MonthStudy
@@ -15,7 +18,7 @@ from tripcohorts.plans import date_study, jobs, month_study, reports
 from tripcohorts.schemas import RESULT_SCHEMAS, TRIP_SCHEMA, ZONE_SCHEMA
 from tripcohorts.sinks.monthly import write_monthly
 from tripcohorts.sinks.results import write_single_csv
-from tripcohorts.sources import catalog
+from tripcohorts.sources import catalog, tables
 from tripcohorts.sources.results import read_result
 from tripcohorts.sources.tables import read_trips, read_zones, schema_problems
 
@@ -56,6 +59,56 @@ def test_a_file_without_a_used_column_is_refused(spark, tmp_path, change):
         read_trips(spark, str(tmp_path / "trips_*.parquet"))
 
 
+def small_files(folder: Path, count: int) -> None:
+    table = pa.table({f.name: pa.array([1], to_arrow_type(f.dataType)) for f in TRIP_SCHEMA if f.name in tables.USED_COLUMNS})
+    folder.mkdir()
+    for i in range(count):
+        pq.write_table(table, folder / f"part {i:04d}%20.parquet")
+
+
+def jobs_of(spark, work) -> int:
+    group = f"counted {id(work)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_footers_of_many_files_are_read_by_one_job(spark, tmp_path):
+    small_files(tmp_path / "many", 500)
+    assert jobs_of(spark, lambda: read_trips(spark, str(tmp_path / "many"))) == 1
+    assert tables.footers(spark, [str(tmp_path / "many")], ["FARE_amount"]).count() == 500
+    bad = pa.table({"fare_amount": pa.array(["1"]), "tip_amount": pa.array([1], pa.uint64())})
+    pq.write_table(bad, tmp_path / "many" / "part 0300 bad.parquet")
+    (tmp_path / "many" / "part 0400 text.parquet").write_text("not a table")
+
+    def refused():
+        with pytest.raises(ValueError) as error:
+            read_trips(spark, str(tmp_path / "many"))
+        message = str(error.value)
+        assert "part 0300 bad.parquet: missing column tpep_pickup_datetime; " in message
+        assert "bad.parquet: column fare_amount is string, not double; " in message
+        assert "column tip_amount is decimal(20,0), not double" in message
+        assert "text.parquet: its footer cannot be read" in message and message.endswith("; and 4 more")
+
+    assert jobs_of(spark, refused) <= 2  # AQE may run the sort's stages apart
+
+
+def test_a_store_that_only_spark_reads(spark, tmp_path, monkeypatch):
+    small_files(tmp_path / "many", 3)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}/many")
+    assert read_trips(spark, "viewfs://store/in").count() == 3
+    pq.write_table(pa.table({"fare_amount": pa.array([1.0])}), tmp_path / "many" / "lacks some.parquet")
+    assert read_trips(spark, "viewfs://store/in").count() == 4  # which a merged schema does not show
+    for file in (tmp_path / "many").glob("part*"):
+        pq.write_table(pa.table({"fare_amount": pa.array([1.0])}), file)
+    with pytest.raises(ValueError, match="viewfs.*missing column tip_amount"):
+        read_trips(spark, "viewfs://store/in")
+
+
 def test_files_may_differ_in_columns_that_are_not_read(spark, tmp_path):
     month_files(spark, tmp_path)
     other = spark.read.parquet(str(tmp_path / "trips_2025-03.parquet"))
