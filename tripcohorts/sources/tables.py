@@ -114,7 +114,7 @@ def footers(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -
         def kinds(path: str) -> list[tuple[str, str]]:
             try:
                 system, name = opened(path)
-            except arrow.ArrowInvalid:
+            except (OSError, arrow.ArrowInvalid):
                 return [("", unreached)]
             try:
                 with system.open_input_file(name) as file:
