@@ -179,6 +179,18 @@ _TOP_ZONES = _day_cut(
     order="period, avg_tip_rate DESC, pickup_borough, pickup_zone",
 )
 
+# Means of cents by whole numbers, rounded half up; of ratios by a compensated sum.
+_PRICES = f"""WITH prices AS (
+  SELECT coalesce({_COHORT_OF_MONTH.replace("ts", "l_shipdate")}, 'Other') AS study_period, l_returnflag,
+         CAST(round(l_extendedprice * 100) AS HUGEINT) AS price, CAST(round(l_discount * 100) AS HUGEINT) AS discount,
+         l_extendedprice / nullif(l_quantity, 0) AS ratio
+  FROM lineitem)
+SELECT study_period, l_returnflag, count(*) AS trip_count,
+       CAST((2 * sum(price) + count(price)) // (2 * count(price)) AS DOUBLE) / 100 AS avg_price,
+       CAST((20000 * sum(discount) + count(discount)) // (2 * count(discount)) AS DOUBLE) / 1000000 AS avg_discount,
+       round(favg(ratio), 4) AS avg_unit_price
+FROM prices GROUP BY study_period, l_returnflag ORDER BY study_period, l_returnflag"""
+
 ORACLE: dict[str, str] = {
     # month-set study
     "total_row_count": "SELECT count(*) AS total_rows FROM lineitem",
@@ -209,6 +221,7 @@ FROM cohort_trips GROUP BY GROUPING SETS (
 SELECT coalesce({_COHORT_OF_MONTH}, 'Other') AS study_period, count(*) AS trip_count FROM trips GROUP BY 1""",
     "trips_by_date_label": f"""WITH {_TRIPS}
 SELECT coalesce({_COHORT_OF_DAY}, 'Outside Study Period') AS period, count(*) AS trip_count FROM trips GROUP BY 1""",
+    "raw_price_means": _PRICES,
     # raw data quality
     "raw_moments": _MOMENTS,
     "exact_profile": _PROFILE,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripcohorts.config import BASELINE, COHORTS, HOLIDAY
+from tripcohorts.functions.exact import exact_sum, mean, mean_of_total
 from tripcohorts.operators.cuts import COUNT
 from tripcohorts.operators.ordering import top_rows
 
@@ -90,10 +91,10 @@ def _cohort_columns(cohort: str, label: str, prefix: str, totals: bool) -> list[
     mine = F.col(cohort) == label
     if totals:
         trips = F.sum(F.when(mine, F.col(COUNT)).otherwise(0))
-        rate = F.try_divide(
-            F.sum(F.when(mine, F.col("tip_rate_sum"))), F.sum(F.when(mine, F.col("tip_rate_n")))
-        )
+        total, count = (F.sum(F.when(mine, F.col(f"tip_rate_{part}"))) for part in ("sum", "n"))
+        rate = mean_of_total(total, count)
     else:
         trips = F.count_if(mine)
-        rate = F.avg(F.when(mine, F.col("tip_rate")))
+        rates = F.when(mine, F.col("tip_rate"))
+        rate = mean(exact_sum(rates), F.count(rates))
     return [trips.alias(f"{prefix}_trips"), rate.alias(f"{prefix}_tip_rate")]

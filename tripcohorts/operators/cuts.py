@@ -5,7 +5,8 @@ sums) and are rounded after averaging.
 
 Rows come in two forms. Plain rows are trips. *Totals* carry ``trip_count`` and, for each
 measure, ``<measure>_sum`` and ``<measure>_n``; they can be grouped again without loss, so
-one scan of the trips can feed many cuts.
+one scan of the trips can feed many cuts. Sums are exact (see ``functions.exact``): neither the
+partitioning of the trips nor the way over totals shows in a mean.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripcohorts.functions.exact import exact_sum, mean, mean_of_total, total
+
 COUNT = "trip_count"
 CUT = "cut"
 
@@ -45,10 +48,10 @@ def trip_summary(
     """Trip count and rounded means by any keys."""
     if totals:
         count = F.sum(COUNT)
-        averages = [F.try_divide(F.sum(f"{m.source}_sum"), F.sum(f"{m.source}_n")) for m in means]
+        averages = [mean_of_total(F.sum(f"{m.source}_sum"), F.sum(f"{m.source}_n")) for m in means]
     else:
         count = F.count("*")
-        averages = [F.avg(m.source) for m in means]
+        averages = [mean(exact_sum(F.col(m.source)), F.count(m.source)) for m in means]
     rounded = [F.round(a, m.places).alias(m.alias) for a, m in zip(averages, means)]
     return rows.groupBy(*keys).agg(count.alias(count_as), *rounded)
 
@@ -60,10 +63,16 @@ def total_columns(sources: Sequence[str] = SOURCES, totals: bool = False) -> lis
         return [F.sum(name).alias(name) for name in names]
     columns = [F.count("*").alias(COUNT)]
     for source in sources:
-        columns += [F.sum(source).alias(f"{source}_sum"), F.count(source).alias(f"{source}_n")]
+        columns += [total(exact_sum(F.col(source))).alias(f"{source}_sum"), F.count(source).alias(f"{source}_n")]
     return columns
 
 
+def means_of_totals(means: Sequence[Mean] = ALL_MEANS) -> list[Column]:
+    """The rounded means of rows that are totals."""
+    averages = [mean_of_total(F.col(f"{m.source}_sum"), F.col(f"{m.source}_n")) for m in means]
+    return [F.round(a, m.places).alias(m.alias) for a, m in zip(averages, means)]
+
+
 def trip_totals(rows: DataFrame, keys: Sequence[str], sources: Sequence[str] = SOURCES) -> DataFrame:
     return rows.groupBy(*keys).agg(*total_columns(sources))
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripcohorts.config import PROFILE_STATISTICS
+from tripcohorts.functions.exact import exact_sum, mean, rounded_mean
 from tripcohorts.operators.cuts import Mean, trip_summary
 from tripcohorts.operators.percentiles import exact_percentiles, sketch
 
@@ -28,7 +29,7 @@ QUARTILE_ERROR = 0.001
 
 def moments(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample deviation, min and max; one row per column, one scan."""
-    makers = {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
+    makers = {"count": F.count, "mean": lambda c: mean(exact_sum(F.col(c)), F.count(c)), "stddev": F.stddev_samp, "min": F.min, "max": F.max}
     wide = frame.agg(*[make(c).alias(f"{c}__{s}") for c in columns for s, make in makers.items()])
     rows = [
         F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{s}").alias(s) for s in makers])
@@ -114,15 +115,15 @@ def extreme_summary(extreme_trips: DataFrame, cohort: str) -> DataFrame:
 def extreme_totals(extreme: Column) -> list[Column]:
     """The extreme summary's sums and counts over rows that also hold other trips."""
     columns = [F.count_if(extreme).alias(EXTREME_COUNT)]
-    for mean in EXTREME_MEANS:
-        value = F.when(extreme, F.col(mean.source))
-        columns += [F.sum(value).alias(f"{mean.source}_sum"), F.count(value).alias(f"{mean.source}_n")]
+    for m in EXTREME_MEANS:
+        value = F.when(extreme, F.col(m.source))
+        columns += [exact_sum(value).alias(f"{m.source}_sum"), F.count(value).alias(f"{m.source}_n")]
     return columns
 
 
 def extreme_from_totals(totals: DataFrame, cohort: str) -> DataFrame:
     means = [
-        F.round(F.try_divide(f"{m.source}_sum", f"{m.source}_n"), m.places).alias(m.alias) for m in EXTREME_MEANS
+        rounded_mean(F.col(f"{m.source}_sum"), F.col(f"{m.source}_n"), m.places).alias(m.alias) for m in EXTREME_MEANS
     ]
     return totals.filter(F.col(EXTREME_COUNT) > 0).select(cohort, EXTREME_COUNT, *means)
 
