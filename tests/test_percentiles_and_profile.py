@@ -83,32 +83,70 @@ def test_no_rows(spark):
     assert set(as_dict(P.approx_percentiles(empty, ["tail", "hot"], [0.5], 0.01)).values()) == {None}
 
 
-def test_brackets_narrow_to_what_can_be_ranked(table, sorted_columns, monkeypatch):
-    monkeypatch.setattr(P, "RANKED_TOGETHER", 300)
-    inside = []
-    monkeypatch.setattr(P, "_ranked", lambda frame, wanted, done=P._ranked: inside.append(wanted) or done(frame, wanted))
-    found = as_dict(P.exact_percentiles(table, table.columns, PS))
+def scans(table, monkeypatch, work):
+    """The result of some work, and the keys of each of its scans."""
+    seen = []
+    plain = P._narrowed
+    monkeypatch.setattr(P, "_narrowed", lambda rows, keyed, asked: seen.append(keyed) or plain(rows, keyed, asked))
+    return work(), seen
+
+
+def test_exact_percentiles_take_four_scans_at_most(table, sorted_columns, monkeypatch):
+    """With few buckets in each scan, the last one has to tell all values of a bucket apart."""
+    monkeypatch.setattr(P, "FINER", 3)
+    monkeypatch.setattr(P, "OCTAVE", 1)
+    found, seen = scans(table, monkeypatch, lambda: as_dict(P.exact_percentiles(table, table.columns, PS)))
+    assert len(seen) == 4 and "none" not in seen[1]
     for column, ranked in sorted_columns.items():
         for p in PS:
             assert found[column, p] == (ranked[max(ceil(len(ranked) * p), 1) - 1] if ranked else None), (column, p)
-    tails = [b for (column, _), b in inside[0].items() if column == "tail"]
-    assert all(b.inside <= 300 for b in tails)
 
 
-def test_a_bracket_that_misses_its_rank_is_not_used(table, sorted_columns, monkeypatch):
-    monkeypatch.setattr(P, "RANKED_TOGETHER", 300)
-    monkeypatch.setattr(P.Bracket, "narrowed", lambda b, found: P.Bracket(b.column, b.p, -5.0, -4.0, rank=b.rank))
-    found = as_dict(P.exact_percentiles(table, ["tail", "hot"], [0.5, 0.99]))
-    for (column, p), value in found.items():
-        assert value == sorted_columns[column][ceil(20000 * p) - 1]
+def test_settled_columns_are_not_read_again(table, monkeypatch):
+    _, seen = scans(table, monkeypatch, lambda: P.exact_percentiles(table, ["hot", "tail"], [0.1, 0.9]).collect())
+    assert [sorted(keyed) for keyed in seen[:2]] == [["hot", "tail"], ["tail"]] and len(seen) <= 3
 
 
-def test_only_what_is_inside_a_bracket_is_shuffled(spark, table, monkeypatch):
-    monkeypatch.setattr(P, "RANKED_TOGETHER", 300)
-    seen = []
-    monkeypatch.setattr(P, "_ranked", lambda frame, wanted: seen.append(wanted) or P._rows(frame, {}))
-    P.exact_percentiles(table, ["tail"], [0.25, 0.75])
-    assert sum(b.inside for b in seen[0].values()) < 0.1 * table.count()
+ODD = [float("nan"), float("inf"), -float("inf"), 0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, -1.7976931348623157e308, 2.2250738585072014e-308]
+
+
+@pytest.mark.parametrize("shares", [(300, 700, 0), (1, 0, 99), (0, 50, 950)])
+def test_odd_values_have_their_ranks(spark, shares):
+    """NaN last, one value in most rows, infinities, the smallest and largest numbers, neighbours."""
+    nan, spread, equal = shares
+    values_ = [float("nan")] * nan + [4.25] * equal + ODD + [1 + i * 2.0**-52 for i in range(spread)]
+    frame = spark.createDataFrame([(v,) for v in values_] + [(None,)] * 5, "x double").repartition(5)
+    ranked = sorted(values_, key=lambda v: (v != v, v))
+    found = as_dict(P.exact_percentiles(frame, ["x"], [0.0, 0.001, 0.25, 0.5, 0.69, 0.7, 0.71, 0.9, 0.999, 1.0]))
+    for (_, p), value in found.items():
+        wanted = ranked[max(ceil(len(ranked) * p), 1) - 1]
+        assert value == wanted or value != value and wanted != wanted, p
+
+
+def test_the_first_key_rises_with_the_value(spark):
+    steps = [s * m * 2.0**e for s in (-1, 1) for e in range(-1074, 1023, 7) for m in (1, 1.0000001, 1.999999999)]
+    frame = spark.createDataFrame([(float(v),) for v in sorted({*steps, *ODD} - {0.0}, key=lambda v: (v != v, v))], "x double")
+    keys = [r[0] for r in frame.coalesce(1).select(P._rising_key(F.col("x"))).collect()]
+    assert keys == sorted(keys) and len(set(keys)) > 500
+
+
+def test_approximate_percentiles_run_when_they_are_asked_for(spark, table):
+    group = "nothing runs"
+    spark.sparkContext.setJobGroup(group, group)
+    found = P.approx_percentiles(table, ["tail"], [0.5], 0.01, by=["hot"])
+    checked = P.rank_check(table, found, ["tail"], 0.01)
+    profile.describe(table, ["tail"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    assert values(checked) == [("tail", 0.5, True)]
+    assert "spark_partition_id" not in str(found._jdf.queryExecution().toString()).lower()
+
+
+def test_sketches_are_kept_by_cohort_and_merged_later(table, sorted_columns):
+    kept = P.sketches(table, ["tail", "none"], 0.01, by=["hot"])
+    assert kept.count() > 50
+    both = P.merged(kept, ["tail", "none"]).select(P.quantiles(F.col("tail"), [0.9]).alias("t"), P.quantiles(F.col("none"), [0.9]).alias("n")).first()
+    rank = sum(v <= both["t"][0] for v in sorted_columns["tail"]) / 20000
+    assert abs(rank - 0.9) < 0.01 and both["n"] is None
 
 
 def test_the_rank_check_fails_for_a_wrong_value(spark, table):

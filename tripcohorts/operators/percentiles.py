@@ -1,215 +1,187 @@
 """Percentiles of several columns at once, approximate or exact.
 
-Approximate ones come from sketches that are merged group by group, so that no task merges
-those of all tasks. Exact ones narrow the search instead of sorting: the sketches give a
-bracket around each wanted rank, a scan counts what lies below and inside, and brackets narrow
-until what is inside can be ranked. Only that is ever shuffled.
+Approximate ones are read off KLL sketches, made by cohort and merged; nothing runs until the result is
+asked for. Exact ones select by digits: a scan counts the rows of each bucket of a key that
+rises with the value, the bucket that holds the wanted rank is counted again by a finer key, and so on,
+four scans at most. What is shuffled is counts of buckets, never rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil, inf
+from math import ceil
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Groups of input partitions whose sketches are merged apart, quantiles kept of each.
-SKETCH_GROUPS, GRID = 64, 400
+#: Smallest and largest size of a KLL sketch.
+LEAST_SKETCH, LARGEST_SKETCH = 8, 65_535
 
-#: Rows inside a bracket that are ranked together; more are narrowed by another scan.
-RANKED_TOGETHER = 200_000
+#: Buckets between two powers of two in the first scan, buckets of the scans after.
+OCTAVE, FINER = 64, 1 << 20
 
+#: Keys of NaN, which Spark puts last, of what is infinite, and of the smallest positive number.
+NOT_A_NUMBER, INFINITE, SMALLEST = 1_000_000, 900_000, 1100 * OCTAVE
 
-@dataclass
-class Sketch:
-    """Quantiles of a column at a grid, for each group, and how many values stand behind each."""
 
-    values: np.ndarray
-    weights: np.ndarray
-    counts: list[int]
+def sketch_size(relative_error: float) -> int:
+    """The size whose ranks are right within half of the error, in 99 of 100 sketches; the whole error is far rarer."""
+    size = ceil((2.296 / (relative_error / 2)) ** (1 / 0.9723))
+    return min(max(size, LEAST_SKETCH), LARGEST_SKETCH)
 
-    def at(self, p: float) -> float | None:
-        """The value whose share of the rows at or below first reaches p."""
-        if not len(self.values):
-            return None
-        upto = np.cumsum(self.weights)
-        place = np.searchsorted(upto, upto[-1] * p * (1 - 1e-12))
-        return float(self.values[min(place, len(upto) - 1)])
 
+def sketches(frame: DataFrame, columns: Sequence[str], relative_error: float, by: Sequence[str] = ()) -> DataFrame:
+    """A KLL sketch of each column by the keys; rows that can be kept and merged with those of other trips."""
+    size = sketch_size(relative_error)
+    return frame.groupBy(*by).agg(*[F.kll_sketch_agg_double(F.col(c).cast("double"), size).alias(c) for c in columns])
 
-def sketch(
-    frame: DataFrame,
-    columns: dict[str, Column],
-    grid: int,
-    accuracy: int,
-    more: dict[str, Column] | None = None,
-) -> tuple[dict[str, Sketch], list[Row]]:
-    """A sketch of each column, and the rows of all groups with ``more`` aggregates, from one scan.
 
-    At most SKETCH_GROUPS * grid values of each column reach the driver.
-    """
-    # one text literal: thousands of array elements would bloat the plan
-    points = F.split(F.lit(",".join(str((i + 0.5) / grid) for i in range(grid))), ",").cast("array<double>")
-    named = {f"_c{i}": column.cast("double") for i, column in enumerate(columns.values())}
-    rows = (
-        frame.withColumns(named)
-        .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
-        .agg(
-            *[F.percentile_approx(name, points, accuracy).alias(name) for name in named],
-            *[F.count(name).alias(f"{name}_n") for name in named],
-            *[aggregate.alias(name) for name, aggregate in (more or {}).items()],
-        )
-        .collect()
-    )
-    result = {}
-    for name, column in zip(named, columns, strict=True):
-        parts = [row for row in rows if row[f"{name}_n"]]
-        counts = [row[f"{name}_n"] for row in parts]
-        values = np.concatenate([np.array(row[name], float) for row in parts]) if parts else np.zeros(0)
-        weights = np.repeat(np.array(counts) / grid, grid)
-        order = np.argsort(values, kind="stable")
-        result[column] = Sketch(values[order], weights[order], counts)
-    return result, rows
+def merged(found: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Sketches by fewer keys."""
+    return found.groupBy(*by).agg(*[F.kll_merge_agg_double(c).alias(c) for c in columns])
+
+
+def quantiles(sketch: Column, ps: Sequence[float]) -> Column:
+    """The values at some shares, NULL for a sketch without values."""
+    shares = F.array(*[F.lit(float(p)) for p in ps])
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, shares))
 
 
 def approx_percentiles(
-    frame: DataFrame, columns: Sequence[str], ps: Sequence[float], relative_error: float
+    frame: DataFrame, columns: Sequence[str], ps: Sequence[float], relative_error: float, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows (column, p, value); the value's rank is within ``relative_error`` of p.
+    """Rows (column, p, value); the value's rank is within ``relative_error`` of p. NaN is left out.
 
-    The sketches take half of the allowed error and the spacing of the grid the other half. An
-    upper-tail percentile needs an error well below 1 - p, or the maximum is a valid answer.
+    Sketches are made by the keys and merged. An upper-tail percentile needs an error well below
+    1 - p, or the maximum is a valid answer.
     """
-    found, _ = sketch(frame, {c: F.col(c) for c in columns}, ceil(1 / relative_error), ceil(2 / relative_error))
-    return _rows(frame, {(c, p): found[c].at(p) for c in columns for p in ps})
+    found = sketches(frame, columns, relative_error, by)
+    if by:
+        found = merged(found, columns)
+    each = [
+        F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"), F.get(quantiles(F.col(c), ps), F.lit(i)).alias("value"))
+        for c in columns
+        for i, p in enumerate(ps)
+    ]
+    return found.select(F.inline(F.array(*each)))
 
 
-@dataclass
-class Bracket:
-    """Where a wanted rank lies: between two values, with so many rows below and inside."""
+@dataclass(frozen=True)
+class Bucket:
+    """Values from low to high, and the wanted rank among them."""
 
-    column: str
-    p: float
-    low: float = -inf
-    high: float = inf
-    below: int = 0
-    inside: int = 0
-    rank: int = 0
+    low: float
+    high: float
+    rank: int
 
-    def holds(self) -> Column:
-        value = F.col(self.column).cast("double")
-        return (value >= self.low) & (value <= self.high)
+    @property
+    def is_open(self) -> bool:
+        """Whether it holds different values; not so for NaN."""
+        return self.low < self.high
 
-    def narrowed(self, found: Sketch) -> Bracket:
-        """Around the rank by a sketch of what is inside, with room for its error."""
-        share, room = (self.rank - self.below) / self.inside, 4 / GRID
-        low = found.at(share - room) if share > room else self.low
-        high = found.at(share + room) if share < 1 - room else self.high
-        return Bracket(self.column, self.p, low, high, rank=self.rank)
+
+Wanted = dict[tuple[str, float], Bucket]
 
 
 def exact_percentiles(frame: DataFrame, columns: Sequence[str], ps: Sequence[float]) -> DataFrame:
     """Rows (column, p, value): the smallest value at or above a share p of the non-NULL rows.
 
-    A bracket that misses its rank is dropped for the wider one before, so the sketches' error
-    costs a scan at worst and never the result.
+    NaN counts as the greatest value. A scan narrows the buckets of all columns and shares together,
+    and goes over the rows only where some bucket still holds different values.
+    """
+    rows = frame.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    every = {c: F.struct(F.lit(0).alias("target"), _rising_key(F.col(c)).alias("key")) for c in columns}
+    wanted = _narrowed(rows, every, [(c, 0, float(p), None) for c in columns for p in ps])
+    for finer in (_finer_key, _finer_key, lambda value, bucket: value):
+        open_ones = {key: bucket for key, bucket in wanted.items() if bucket.is_open}
+        if not open_ones:
+            break
+        keyed, asked = {}, []
+        for column in dict.fromkeys(c for c, _ in open_ones):
+            spans = sorted({(b.low, b.high) for (c, _), b in open_ones.items() if c == column})
+            value = F.col(column)
+            each = [
+                F.when(value.between(*span), F.struct(F.lit(i).alias("target"), finer(value, span).alias("key")))
+                for i, span in enumerate(spans)
+            ]
+            keyed[column] = F.coalesce(*each)
+            asked += [(c, spans.index((b.low, b.high)), p, b.rank) for (c, p), b in open_ones.items() if c == column]
+        wanted |= _narrowed(rows, keyed, asked)
+    found = [(c, float(p), wanted[c, p].low if (c, p) in wanted else None) for c in columns for p in map(float, ps)]
+    return frame.sparkSession.createDataFrame(found, "column string, p double, value double")
+
+
+def _rising_key(value: Column) -> Column:
+    """A number that rises with the value; values with the same one differ by about a hundredth."""
+    size = F.floor(F.log2(F.abs(value)) * OCTAVE) + SMALLEST  # the logarithm never falls
+    key = F.when(F.isnan(value), F.lit(NOT_A_NUMBER)).when(F.abs(value) == float("inf"), F.signum(value) * INFINITE)
+    return key.when(value == 0, F.lit(0)).when(value.isNotNull(), F.signum(value) * size).cast("double")
+
+
+def _finer_key(value: Column, span: tuple[float, float]) -> Column:
+    low, high = span
+    return F.floor((value - low) / (high - low) * FINER).cast("double")
+
+
+def _narrowed(rows: DataFrame, keyed: dict[str, Column], asked: list[tuple[str, int, float, int | None]]) -> Wanted:
+    """The bucket of each asked (column, target, p, rank): one scan, whose counts of keys are shuffled.
+
+    Without a rank it follows from p and the number of values. ``keyed`` has a struct of target and key, or NULL,
+    for each column.
     """
-    counts = frame.agg(*[F.count(c) for c in columns]).first()
-    wanted = {}
-    for column, total in zip(columns, counts, strict=True):
-        for p in ps:
-            rank = max(1, ceil(total * p))
-            wanted[column, p] = Bracket(column, p, inside=total, rank=rank) if total else None
-    open_ones = [key for key, b in wanted.items() if b and b.inside > RANKED_TOGETHER]
-    while open_ones:
-        brackets = [wanted[key] for key in open_ones]
-        found, _ = sketch(
-            frame, {str(i): F.when(b.holds(), F.col(b.column)) for i, b in enumerate(brackets)}, GRID, 5 * GRID
+    each = [
+        F.struct(
+            F.lit(c).alias("column"), both["target"].alias("target"), both["key"].alias("key"), F.col(c).alias("value")
         )
-        tried = [b.narrowed(found[str(i)]) for i, b in enumerate(brackets)]
-        counted = _counted(frame, tried)
-        open_ones = []
-        for before, after in zip(brackets, counted, strict=True):
-            if after.below < after.rank <= after.below + after.inside:
-                wanted[after.column, after.p] = after
-            else:
-                after = before
-            smaller = after.inside < before.inside
-            if after.inside > RANKED_TOGETHER and after.low < after.high and smaller:
-                open_ones.append((after.column, after.p))
-    return _ranked(frame, wanted)
-
-
-def _counted(frame: DataFrame, brackets: Sequence[Bracket]) -> list[Bracket]:
-    """The brackets with the rows below and inside them, from one scan."""
-    counters = []
-    for b in brackets:
-        counters += [F.count_if(F.col(b.column).cast("double") < b.low), F.count_if(b.holds())]
-    found = frame.agg(*counters).first()
-    return [
-        Bracket(b.column, b.p, b.low, b.high, found[2 * i], found[2 * i + 1], b.rank) for i, b in enumerate(brackets)
+        for c, both in keyed.items()
     ]
-
-
-def _ranked(frame: DataFrame, wanted: dict[tuple[str, float], Bracket | None]) -> DataFrame:
-    """The value at each rank among those inside its bracket; copies of a value are one row."""
-    values: dict[tuple[str, float], float | None] = {key: None for key in wanted}
-    known = {key: b for key, b in wanted.items() if b}
-    values |= {key: b.low for key, b in known.items() if b.low == b.high}
-    rest = [b for b in known.values() if b.low < b.high]
-    if rest:
-        each = [
-            F.struct(F.lit(i).alias("target"), F.when(b.holds(), F.col(b.column).cast("double")).alias("value"))
-            for i, b in enumerate(rest)
-        ]
-        inside = (
-            frame.select(F.inline(F.array(*each)))
-            .filter(F.col("value").isNotNull())
-            .groupBy("target", "value")
-            .agg(F.count("*").alias("n"))
-        )
-        running = F.sum("n").over(Window.partitionBy("target").orderBy("value"))
-        rank = F.array(*[F.lit(b.rank - b.below) for b in rest])[F.col("target")]
-        reached = inside.withColumn("upto", running).filter(F.col("upto") >= rank)
-        for row in reached.groupBy("target").agg(F.min("value").alias("value")).collect():
-            values[rest[row["target"]].column, rest[row["target"]].p] = row["value"]
-    return _rows(frame, values)
+    counted = rows.select(F.inline(F.array(*each))).filter("key is not null").groupBy("column", "target", "key")
+    counted = counted.agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    target = Window.partitionBy("column", "target")
+    counted = counted.withColumns({"upto": F.sum("n").over(target.orderBy("key")), "total": F.sum("n").over(target)})
+    ranks = rows.sparkSession.createDataFrame(asked, "column string, target int, p double, rank long")
+    by_share = F.greatest(F.lit(1), F.ceil(F.col("total") * F.col("p")))
+    reached = counted.join(F.broadcast(ranks), ["column", "target"]).withColumn("rank", F.coalesce("rank", by_share))
+    found = reached.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
+    # a row for each asked share
+    return {
+        (r["column"], r["p"]): Bucket(r["low"], r["high"], r["rank"] - (r["upto"] - r["n"])) for r in found.collect()
+    }
 
 
 def percentiles(
-    frame: DataFrame, columns: Sequence[str], ps: Sequence[float], relative_error: float = 0.0
+    frame: DataFrame, columns: Sequence[str], ps: Sequence[float], relative_error: float = 0.0, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact percentiles for error 0, approximate ones otherwise."""
+    """Exact percentiles for error 0, approximate ones otherwise, from sketches by some keys."""
     if relative_error == 0:
         return exact_percentiles(frame, columns, ps)
-    return approx_percentiles(frame, columns, ps, relative_error)
+    return approx_percentiles(frame, columns, ps, relative_error, by)
 
 
 def rank_check(frame: DataFrame, found: DataFrame, columns: Sequence[str], relative_error: float) -> DataFrame:
     """column, p, and whether the rank of each found value is within the error of p, give or take a row.
 
-    Counts the rows below and up to each value: one scan, whatever the number of values.
+    Rows are counted by how many of their column's found values lie above them, and how many at
+    or above; these few counts are all that is shuffled. Nothing runs before the result is asked for, and a column
+    without values has no rows.
     """
-    rows = found.collect()  # columns * ps rows
-    counters = [F.count(c).alias(f"n_{c}") for c in columns]
-    for i, r in enumerate(rows):
-        value = F.col(r["column"]).cast("double")
-        counters += [F.count_if(value < r["value"]).alias(f"below_{i}"), F.count_if(value <= r["value"]).alias(f"upto_{i}")]
-    counts = frame.agg(*counters)
-    checks = []
-    for i, r in enumerate(rows):
-        total = F.col(f"n_{r['column']}")
-        near = (F.col(f"below_{i}") <= total * (r["p"] + relative_error) + 1) & (
-            F.col(f"upto_{i}") >= total * (r["p"] - relative_error) - 1
-        )
-        checks.append(F.struct(F.lit(r["column"]).alias("column"), F.lit(r["p"]).alias("p"), near.alias("within_error")))
-    return counts.select(F.inline(F.array(*checks)))
-
-
-def _rows(frame: DataFrame, values: dict[tuple[str, float], float | None]) -> DataFrame:
-    """One row per column and p, with NULL where the column holds no value."""
-    rows = [(column, float(p), value) for (column, p), value in values.items()]
-    return frame.sparkSession.createDataFrame(rows, "column string, p double, value double")
+    values = found.groupBy("column").agg(F.collect_list(F.struct("p", "value")).alias("found"))
+    each = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("row")) for c in columns]
+    rows = frame.select(F.inline(F.array(*each))).filter("row is not null")
+    met = rows.join(F.broadcast(values), "column")
+    above = met.groupBy(
+        "column",
+        F.transform("found", lambda f: f["value"] > F.col("row")).alias("above"),
+        F.transform("found", lambda f: f["value"] >= F.col("row")).alias("reached"),
+    ).agg(F.count("*").alias("n"), F.any_value("found").alias("found"))
+    each_found = above.select("column", "n", F.inline(F.arrays_zip("found", "above", "reached")))
+    summed = each_found.groupBy("column", F.col("found.p").alias("p")).agg(
+        F.sum("n").alias("total"),
+        F.sum(F.when(F.col("above"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("reached"), F.col("n")).otherwise(0)).alias("upto"),
+    )
+    near = (F.col("below") <= F.col("total") * (F.col("p") + relative_error) + 1) & (
+        F.col("upto") >= F.col("total") * (F.col("p") - relative_error) - 1
+    )
+    return summed.select("column", "p", near.alias("within_error"))

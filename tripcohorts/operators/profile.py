@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
-from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +10,7 @@ from pyspark.sql import functions as F
 from tripcohorts.config import PROFILE_STATISTICS
 from tripcohorts.functions.exact import exact_sum, mean, rounded_mean
 from tripcohorts.operators.cuts import Mean, trip_summary
-from tripcohorts.operators.percentiles import exact_percentiles, sketch
+from tripcohorts.operators.percentiles import exact_percentiles, quantiles, sketch_size
 
 # Result names and decimal places of the extreme-tip summary, the error of the
 # profile's quartiles.
@@ -53,59 +50,27 @@ def exact_profile(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rounded_moments(frame, columns).join(quartiles, "column")
 
 
-@dataclass
-class Summary:
-    """Count, mean and sum of squared deviations; two of them merge without loss of digits."""
-
-    count: int
-    mean: float
-    squares: float
-
-    def merged(self, other: Summary) -> Summary:
-        count = self.count + other.count
-        if not count:
-            return self
-        apart = other.mean - self.mean
-        return Summary(
-            count,
-            self.mean + apart * other.count / count,
-            self.squares + other.squares + apart * apart * self.count * other.count / count,
-        )
-
-
 def describe(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Statistics as rows, columns as columns, all text; quartiles are approximate.
 
-    The table ``DataFrame.summary`` gives, from one scan: moments and quartile sketches of groups
-    of tasks, of which there is a fixed number, are merged on the driver.
+    The table ``DataFrame.summary`` gives, from one scan of one aggregate: moments and KLL sketches.
     """
-    quartiles = {s: float(s.rstrip("%")) / 100 for s in PROFILE_STATISTICS if s.endswith("%")}
-    more = {}
+    shares = {s: float(s.rstrip("%")) / 100 for s in PROFILE_STATISTICS if s.endswith("%")}
+    makers = {"mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
+    aggregates = []
     for c in columns:
         value = F.col(c).cast("double")
-        more |= {f"{c}__mean": F.avg(value), f"{c}__squares": F.var_pop(value) * F.count(value)}
-        more |= {f"{c}__min": F.min(c), f"{c}__max": F.max(c)}
-    named = {c: F.col(c) for c in columns}
-    found, rows = sketch(frame, named, ceil(1 / QUARTILE_ERROR), ceil(2 / QUARTILE_ERROR), more)
-    table: dict[str, list[float | None]] = {s: [] for s in PROFILE_STATISTICS}
-    for c, counted in zip(columns, found, strict=True):
-        parts = [r for r in rows if r[f"{c}__mean"] is not None]
-        each = [Summary(n, r[f"{c}__mean"], r[f"{c}__squares"]) for n, r in zip(found[counted].counts, parts, strict=True)]
-        whole = reduce(Summary.merged, each, Summary(0, 0.0, 0.0))
-        table["count"].append(float(whole.count))
-        table["mean"].append(whole.mean if whole.count else None)
-        table["stddev"].append(sqrt(whole.squares / (whole.count - 1)) if whole.count > 1 else None)
-        table["min"].append(min((r[f"{c}__min"] for r in parts), default=None))
-        table["max"].append(max((r[f"{c}__max"] for r in parts), default=None))
-        for name, share in quartiles.items():
-            table[name].append(found[counted].at(share))
-    schema = ", ".join(["place int", "summary string", *[f"`{c}` double" for c in columns]])
-    wide = frame.sparkSession.createDataFrame([(i, s, *table[s]) for i, s in enumerate(PROFILE_STATISTICS)], schema)
-    texts = [
-        F.when(F.col("summary") == "count", F.col(c).cast("long").cast("string")).otherwise(F.col(c).cast("string")).alias(c)
-        for c in columns
-    ]
-    return wide.orderBy("place").select("summary", *texts)
+        aggregates += [F.count(value).alias(f"{c}__count"), F.kll_sketch_agg_double(value, sketch_size(QUARTILE_ERROR)).alias(f"{c}__sketch")]
+        aggregates += [make(value).alias(f"{c}__{s}") for s, make in makers.items()]
+    wide = frame.agg(*aggregates)
+    for c in columns:
+        wide = wide.withColumn(f"{c}__quartiles", quantiles(F.col(f"{c}__sketch"), list(shares.values())))
+    rows = []
+    for place, s in enumerate(PROFILE_STATISTICS):
+        texts = [F.get(f"{c}__quartiles", F.lit(list(shares).index(s))) if s in shares else F.col(f"{c}__{s}") for c in columns]
+        named = [text.cast("string").alias(c) for text, c in zip(texts, columns, strict=True)]
+        rows.append(F.struct(F.lit(place).alias("place"), F.lit(s).alias("summary"), *named))
+    return wide.select(F.inline(F.array(*rows))).orderBy("place").drop("place")
 
 
 def extreme_summary(extreme_trips: DataFrame, cohort: str) -> DataFrame:

@@ -97,7 +97,8 @@ def exact_profile(trips: DataFrame, study: DateStudy = DateStudy()) -> DataFrame
 def approx_percentiles(
     trips: DataFrame, study: DateStudy = DateStudy(), relative_error: float = PERCENTILE_ERROR
 ) -> DataFrame:
-    found = percentiles(study_trips(trips, study), PROFILE_COLUMNS, PERCENTILES, relative_error)
+    cohort = [study.cohorts.column]
+    found = percentiles(study_trips(trips, study), PROFILE_COLUMNS, PERCENTILES, relative_error, by=cohort)
     return order_rows(found, "column", "p")
 
 
@@ -106,7 +107,7 @@ def approx_percentile_ranks(
 ) -> DataFrame:
     """Whether each approximate percentile has a rank within the error."""
     rows = study_trips(trips, study)
-    found = percentiles(rows, PROFILE_COLUMNS, PERCENTILES, relative_error)
+    found = percentiles(rows, PROFILE_COLUMNS, PERCENTILES, relative_error, by=[study.cohorts.column])
     return order_rows(rank_check(rows, found, PROFILE_COLUMNS, relative_error), "column", "p")
 
 
