@@ -3,6 +3,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -309,6 +310,55 @@ def test_month_layout_does_not_replace_its_input(spark, tmp_path):
     assert table.count() == 18
 
 
+def counting(spark, table):
+    """The table, and how many of its rows were read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return table.mapInArrow(counted, table.schema), seen
+
+
+def test_scans_of_the_date_job(spark, tmp_path, lookup_folder, monkeypatch, capsys):
+    """One for the raw count, one for cuts, counters and funnel, one for the profile, four for exact percentiles at most."""
+    month_files(spark, tmp_path)
+    table, seen = counting(spark, read_trips(spark, str(tmp_path / "trips_*.parquet")))
+    monkeypatch.setattr(jobs, "read_trips", lambda *_: table)
+    monkeypatch.setattr(jobs.date_study, "tail_percentiles", lambda trips, study: trips.limit(0))
+    chosen = SimpleNamespace(trips=["x"], zones=lookup_folder, out=str(tmp_path / "out"), month_folders=False)
+    jobs._date_job(spark, chosen)
+    assert seen.value == 3 * 18
+    shown = capsys.readouterr().out
+    assert "row_funnel" in shown and "approx_percentiles" in shown
+
+
+def test_previews_compute_a_table_once(spark, capsys):
+    table, seen = counting(spark, spark.range(300))
+    jobs.show({"long": table})
+    assert "200 more rows" in capsys.readouterr().out and seen.value == 300
+
+
+def test_study_totals_give_what_single_scans_give(spark, tmp_path, lookup_folder):
+    odd = [
+        trip(fare_amount=-1.0), trip(fare_amount=0.0), trip(tip_amount=-2.0), trip(PULocationID=None), trip(DOLocationID=None),
+        trip(payment_type=None), trip(trip_distance=None), trip(tip_amount=30.0), trip(tip_amount=float("inf")),
+        trip(fare_amount=10.0, tip_amount=6.0), trip(PULocationID=1), trip(PULocationID=9999), trip(payment_type=2),
+        trip(tpep_pickup_datetime=datetime(2025, 12, 4, 5)), trip(tpep_pickup_datetime=datetime(2024, 12, 4, 5)), trip(fare_amount=None),
+    ]
+    table, lookup = trips(spark, odd * 3), read_zones(spark, lookup_folder)
+    totals = date_study.study_totals(table)
+    quality = date_study.quality_from_totals(totals)
+    assert values(quality["invalid_record_counts"]) == values(date_study.invalid_record_counts(table))
+    assert values(quality["high_tip_trips_by_period"]) == values(date_study.high_tip_trips_by_period(table))
+    assert values(date_study.funnel_from_totals(table, totals, lookup)) == values(date_study.row_funnel(table, lookup))
+    ours = date_study.results_from_totals(date_study.cuts_from_totals(totals, lookup))
+    single = date_study.results_from_totals(date_study.shared_totals(table, lookup))
+    assert {name: values(rows) for name, rows in ours.items()} == {name: values(rows) for name, rows in single.items()}
+
+
 def test_date_job_scans_the_trips_four_times(spark, tmp_path, lookup_folder):
     month_files(spark, tmp_path)
     table, lookup = read_trips(spark, str(tmp_path / "trips_*.parquet")), read_zones(spark, lookup_folder)

@@ -34,6 +34,11 @@ def exact_sum(value: Column) -> Column:
     return F.struct(*[F.sum(part).alias(name) for name, part in sums.items()])
 
 
+def merged_sum(sums: Column) -> Column:
+    """Aggregate: the sum of exact sums."""
+    return F.struct(*[F.sum(sums.getField(name)).alias(name) for name in ("units", "rest", "beyond")])
+
+
 def mean(sums: Column, count: Column) -> Column:
     """The mean of an exact sum as a double, to PLACES decimals; whole numbers go in, so it is the same in any order."""
     by = count.cast("double")

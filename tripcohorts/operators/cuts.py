@@ -56,14 +56,17 @@ def trip_summary(
     return rows.groupBy(*keys).agg(count.alias(count_as), *rounded)
 
 
-def total_columns(sources: Sequence[str] = SOURCES, totals: bool = False) -> list[Column]:
-    """The aggregates that turn trips, or finer totals, into totals."""
+def total_columns(
+    sources: Sequence[str] = SOURCES, totals: bool = False, only: Column | None = None
+) -> list[Column]:
+    """The aggregates that turn trips, or finer totals, into totals; of trips, sums over ``only`` some of them."""
     if totals:
         names = [COUNT, *(f"{s}_{part}" for s in sources for part in ("sum", "n"))]
         return [F.sum(name).alias(name) for name in names]
     columns = [F.count("*").alias(COUNT)]
     for source in sources:
-        columns += [total(exact_sum(F.col(source))).alias(f"{source}_sum"), F.count(source).alias(f"{source}_n")]
+        value = F.col(source) if only is None else F.when(only, F.col(source))
+        columns += [total(exact_sum(value)).alias(f"{source}_sum"), F.count(value).alias(f"{source}_n")]
     return columns
 
 

@@ -57,8 +57,11 @@ def approx_percentiles(
     1 - p, or the maximum is a valid answer.
     """
     found = sketches(frame, columns, relative_error, by)
-    if by:
-        found = merged(found, columns)
+    return percentiles_of(merged(found, columns) if by else found, columns, ps)
+
+
+def percentiles_of(found: DataFrame, columns: Sequence[str], ps: Sequence[float]) -> DataFrame:
+    """Rows (column, p, value) of one row of sketches."""
     each = [
         F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"), F.get(quantiles(F.col(c), ps), F.lit(i)).alias("value"))
         for c in columns

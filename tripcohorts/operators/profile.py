@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripcohorts.config import PROFILE_STATISTICS
-from tripcohorts.functions.exact import exact_sum, mean, rounded_mean
+from tripcohorts.functions.exact import exact_sum, mean, merged_sum, rounded_mean
 from tripcohorts.operators.cuts import Mean, trip_summary
 from tripcohorts.operators.percentiles import exact_percentiles, quantiles, sketch_size
 
@@ -55,22 +55,30 @@ def describe(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     The table ``DataFrame.summary`` gives, from one scan of one aggregate: moments and KLL sketches.
     """
-    shares = {s: float(s.rstrip("%")) / 100 for s in PROFILE_STATISTICS if s.endswith("%")}
-    makers = {"mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
+    return described(measures(frame, columns), columns)
+
+
+def measures(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with the moments of each column, and under its name a sketch that also gives other percentiles."""
+    makers = {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
     aggregates = []
     for c in columns:
         value = F.col(c).cast("double")
-        aggregates += [F.count(value).alias(f"{c}__count"), F.kll_sketch_agg_double(value, sketch_size(QUARTILE_ERROR)).alias(f"{c}__sketch")]
+        aggregates.append(F.kll_sketch_agg_double(value, sketch_size(QUARTILE_ERROR)).alias(c))
         aggregates += [make(value).alias(f"{c}__{s}") for s, make in makers.items()]
-    wide = frame.agg(*aggregates)
-    for c in columns:
-        wide = wide.withColumn(f"{c}__quartiles", quantiles(F.col(f"{c}__sketch"), list(shares.values())))
+    return frame.agg(*aggregates)
+
+
+def described(measured: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Measures as the table of ``describe``."""
+    shares = {s: float(s.rstrip("%")) / 100 for s in PROFILE_STATISTICS if s.endswith("%")}
+    found = {f"{c}__quartiles": quantiles(F.col(c), list(shares.values())) for c in columns}
     rows = []
     for place, s in enumerate(PROFILE_STATISTICS):
         texts = [F.get(f"{c}__quartiles", F.lit(list(shares).index(s))) if s in shares else F.col(f"{c}__{s}") for c in columns]
         named = [text.cast("string").alias(c) for text, c in zip(texts, columns, strict=True)]
         rows.append(F.struct(F.lit(place).alias("place"), F.lit(s).alias("summary"), *named))
-    return wide.select(F.inline(F.array(*rows))).orderBy("place").drop("place")
+    return measured.withColumns(found).select(F.inline(F.array(*rows))).orderBy("place").drop("place")
 
 
 def extreme_summary(extreme_trips: DataFrame, cohort: str) -> DataFrame:
@@ -82,13 +90,24 @@ def extreme_totals(extreme: Column) -> list[Column]:
     columns = [F.count_if(extreme).alias(EXTREME_COUNT)]
     for m in EXTREME_MEANS:
         value = F.when(extreme, F.col(m.source))
-        columns += [exact_sum(value).alias(f"{m.source}_sum"), F.count(value).alias(f"{m.source}_n")]
+        name = f"extreme_{m.source}"
+        columns += [exact_sum(value).alias(f"{name}_sum"), F.count(value).alias(f"{name}_n")]
+    return columns
+
+
+def merged_extremes() -> list[Column]:
+    """The aggregates that turn finer extreme totals into coarser ones."""
+    columns = [F.sum(EXTREME_COUNT).alias(EXTREME_COUNT)]
+    for m in EXTREME_MEANS:
+        name = f"extreme_{m.source}"
+        columns += [merged_sum(F.col(f"{name}_sum")).alias(f"{name}_sum"), F.sum(f"{name}_n").alias(f"{name}_n")]
     return columns
 
 
 def extreme_from_totals(totals: DataFrame, cohort: str) -> DataFrame:
     means = [
-        rounded_mean(F.col(f"{m.source}_sum"), F.col(f"{m.source}_n"), m.places).alias(m.alias) for m in EXTREME_MEANS
+        rounded_mean(F.col(f"extreme_{m.source}_sum"), F.col(f"extreme_{m.source}_n"), m.places).alias(m.alias)
+        for m in EXTREME_MEANS
     ]
     return totals.filter(F.col(EXTREME_COUNT) > 0).select(cohort, EXTREME_COUNT, *means)
 

@@ -18,15 +18,17 @@ from tripcohorts.operators import profile, rules
 from tripcohorts.operators import zones as zone_ops
 from tripcohorts.operators.cuts import (
     ALL_MEANS,
+    COUNT,
     FARE,
     RATE,
     TIP,
     all_cut_totals,
     cut_rows,
+    total_columns,
     trip_summary,
 )
 from tripcohorts.operators.ordering import order_rows
-from tripcohorts.operators.percentiles import percentiles, rank_check
+from tripcohorts.operators.percentiles import percentiles, percentiles_of, rank_check
 
 # The cuts of this study, their measures and their order.
 CUTS = {
@@ -128,27 +130,73 @@ def high_tip_trips_by_period(trips: DataFrame, study: DateStudy = DateStudy()) -
     return order_rows(profile.extreme_summary(extreme, study.cohorts.column), study.cohorts.column)
 
 
-def quality_totals(trips: DataFrame, study: DateStudy = DateStudy()) -> DataFrame:
-    """Defect counters and extreme-tip totals per cohort, from a single scan."""
-    extreme = rules.is_extreme(study.thresholds)
-    return (
-        study_trips(trips, study)
-        .groupBy(study.cohorts.column)
-        .agg(*rules.defect_counters(), *profile.extreme_totals(extreme))
+def measures(trips: DataFrame, study: DateStudy = DateStudy()) -> DataFrame:
+    """One row, from one scan, that holds the profile and the approximate percentiles."""
+    return profile.measures(study_trips(trips, study), PROFILE_COLUMNS)
+
+
+def from_measures(measured: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "raw_summary_statistics": profile.described(measured, PROFILE_COLUMNS),
+        "approx_percentiles": order_rows(percentiles_of(measured, PROFILE_COLUMNS, PERCENTILES), "column", "p"),
+    }
+
+
+def study_totals(trips: DataFrame, study: DateStudy = DateStudy()) -> DataFrame:
+    """Study rows by all keys of the cuts and whether they are clean, from a single scan.
+
+    Row counts, defects and extreme tips count all rows of a group, amounts only the clean ones. Cuts,
+    quality tables and funnel all follow from this small table. Counters are part of the
+    grouped result, and no observed metrics, because those count rows again when the tasks of a
+    lost executor are run again.
+    """
+    clean = rules.all_hold(clean_rules(study))
+    rows = features.add_calendar(study_trips(trips, study)).withColumns(
+        {
+            "tip_rate": features.tip_rate(),
+            "airport_trip_flag": features.airport_flag(study.airports),
+            "is_clean": F.coalesce(clean, F.lit(False)),
+            "is_card": _is_card(study),
+        }
+    )
+    _, *defects = rules.defect_counters()
+    return rows.groupBy(study.cohorts.column, "is_clean", *_TRIP_KEYS, features.PICKUP_ZONE).agg(
+        *total_columns(only=F.col("is_clean")), *defects, *profile.extreme_totals(rules.is_extreme(study.thresholds))
     )
 
 
+def quality_totals(trips: DataFrame, study: DateStudy = DateStudy()) -> DataFrame:
+    """Row counts, defects and extreme tips of the study totals by cohort alone."""
+    counters = [F.sum(name).alias(name) for name in (COUNT, *rules.defects())]
+    return study_totals(trips, study).groupBy(study.cohorts.column).agg(*counters, *profile.merged_extremes())
+
+
 def quality_from_totals(totals: DataFrame, study: DateStudy = DateStudy()) -> dict[str, DataFrame]:
-    counters = ["total_rows", *rules.defects()]
+    """Defect counters and extreme tips, from the study totals."""
+    counters = {"total_rows": F.sum(COUNT)} | {name: F.sum(name) for name in rules.defects()}
     cohort = study.cohorts.column
+    extremes = totals.groupBy(cohort).agg(*profile.merged_extremes())
     return {
         "invalid_record_counts": totals.agg(
-            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counters]
+            *[F.coalesce(total, F.lit(0)).alias(name) for name, total in counters.items()]
         ),
-        "high_tip_trips_by_period": order_rows(profile.extreme_from_totals(totals, cohort), cohort),
+        "high_tip_trips_by_period": order_rows(profile.extreme_from_totals(extremes, cohort), cohort),
     }
 
 
+def funnel_from_totals(
+    trips: DataFrame, totals: DataFrame, zones: DataFrame, study: DateStudy = DateStudy()
+) -> DataFrame:
+    """Rows left after each stage, from the study totals; the raw count reads no column."""
+    clean = F.when(F.col("is_clean"), F.col(COUNT)).otherwise(0)
+    by_id = totals.groupBy(features.PICKUP_ZONE).agg(
+        F.sum(COUNT).alias("n_study"),
+        F.sum(clean).alias("n_clean"),
+        F.sum(F.when(F.col("is_card"), clean).otherwise(0)).alias("n_card"),
+    )
+    return _funnel(trips, by_id, zones)
+
+
 def row_funnel(trips: DataFrame, zones: DataFrame, study: DateStudy = DateStudy()) -> DataFrame:
     """Rows left after each stage, from one pass over the study rows.
 
@@ -165,6 +213,11 @@ def row_funnel(trips: DataFrame, zones: DataFrame, study: DateStudy = DateStudy(
             F.count_if(clean & _is_card(study)).alias("n_card"),
         )
     )
+    return _funnel(trips, by_id, zones)
+
+
+def _funnel(trips: DataFrame, by_id: DataFrame, zones: DataFrame) -> DataFrame:
+    """Counts by zone id as rows by stage."""
     later = zone_ops.with_matches(by_id, zone_ops.zone_dimension(zones)).agg(
         _total(F.col("n_study")).alias("study_period"),
         _total(F.col("n_clean")).alias("cleaned"),
@@ -215,14 +268,22 @@ _SHARED_CUTS = {
 }
 
 
+_TRIP_KEYS = ["is_card", "pickup_hour", "airport_trip_flag"]
+
+
 def shared_totals(trips: DataFrame, zones: DataFrame, study: DateStudy = DateStudy()) -> DataFrame:
     """Totals for all six cuts from a single scan of the trips."""
     rows = clean_trips(trips, study).withColumn("is_card", _is_card(study))
-    trip_keys = ["period", "is_card", "pickup_hour", "airport_trip_flag"]
-    zoned = zone_ops.zone_totals(rows, zone_ops.zone_dimension(zones), trip_keys)
+    zoned = zone_ops.zone_totals(rows, zone_ops.zone_dimension(zones), ["period", *_TRIP_KEYS])
     return all_cut_totals(zoned, _SHARED_CUTS)
 
 
+def cuts_from_totals(totals: DataFrame, zones: DataFrame) -> DataFrame:
+    """The same from the study totals."""
+    clean = totals.filter("is_clean")
+    return all_cut_totals(zone_ops.join_zones(clean, zone_ops.zone_dimension(zones)), _SHARED_CUTS)
+
+
 def results_from_totals(shared: DataFrame, study: DateStudy = DateStudy()) -> dict[str, DataFrame]:
     results = {ALL_PAYMENTS: _finish(cut_rows(shared, _SHARED_CUTS, "all"), ALL_PAYMENTS, study, True)}
     for name in CUTS:

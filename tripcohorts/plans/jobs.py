@@ -32,20 +32,25 @@ def run_date_study(
 ) -> dict[str, DataFrame]:
     """Writes six cuts to ``out`` and three quality tables to ``out/eda``.
 
-    Three scans of the study rows, whatever the number of tables: one for all cuts, one for
-    the counters, one for the profile. Returns the written tables.
+    Two scans of the study rows, whatever the number of tables: one for all cuts, counters and the
+    funnel, one for the profile and its percentiles. Returns the written tables, then funnel and percentiles.
     """
     require_unique_zones(zones)
-    cuts = date_study.results_from_totals(cut_lineage(date_study.shared_totals(trips, zones, study)), study)
-    quality = date_study.quality_from_totals(cut_lineage(date_study.quality_totals(trips, study)), study)
-    quality["raw_summary_statistics"] = date_study.raw_profile(trips, study)
+    totals = cut_lineage(date_study.study_totals(trips, study))
+    cuts = date_study.results_from_totals(cut_lineage(date_study.cuts_from_totals(totals, zones)), study)
+    measured = date_study.from_measures(cut_lineage(date_study.measures(trips, study)))
+    shown = {
+        "row_funnel": date_study.funnel_from_totals(trips, totals, zones, study),
+        "approx_percentiles": measured.pop("approx_percentiles"),
+    }
+    quality = date_study.quality_from_totals(totals, study) | measured
     for name, result in cuts.items():
         write_single_csv(result, f"{out}/{name}")
     for name, result in quality.items():
         write_single_csv(result, f"{out}/eda/{name}")
     spark = trips.sparkSession
     paths = {name: f"{out}/{name}" for name in cuts} | {name: f"{out}/eda/{name}" for name in quality}
-    return {name: read_result(spark, path, name) for name, path in paths.items()}
+    return {name: read_result(spark, path, name) for name, path in paths.items()} | shown
 
 
 def run_month_study(
@@ -106,14 +111,8 @@ def _date_job(spark: SparkSession, chosen: argparse.Namespace) -> None:
     study = DateStudy()
     if chosen.month_folders:
         study = replace(study, cohorts=in_month_folders(study.cohorts))
-    show(
-        {
-            "row_funnel": date_study.row_funnel(trips, zones, study),
-            "approx_percentiles": date_study.approx_percentiles(trips, study),
-            "tail_percentiles": date_study.tail_percentiles(trips, study),
-        }
-    )
-    show(run_date_study(trips, zones, chosen.out, study))
+    results = run_date_study(trips, zones, chosen.out, study)
+    show(results | {"tail_percentiles": date_study.tail_percentiles(trips, study)})
 
 
 def _month_job(spark: SparkSession, chosen: argparse.Namespace) -> None:
@@ -154,11 +153,12 @@ _RUNNERS = {
 
 
 def show(tables: dict[str, DataFrame]) -> None:
-    """Prints the first rows of each table, and how many there are beyond."""
+    """Prints the first rows of each table, and how many there are beyond; a table is computed once."""
     for name, table in tables.items():
         print(name)
-        table.show(PREVIEW_ROWS, truncate=False)
-        more = table.count() - PREVIEW_ROWS
+        kept = cut_lineage(table)
+        kept.show(PREVIEW_ROWS, truncate=False)
+        more = kept.count() - PREVIEW_ROWS
         if more > 0:
             print(f"{more} more rows are not shown")
 
