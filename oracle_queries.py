@@ -205,6 +205,10 @@ ORACLE: dict[str, str] = {
 SELECT study_period, borough, count(*) AS trip_count, round(avg(rate), 4) AS avg_tip_rate
 FROM cohort_trips WHERE borough IS NOT NULL GROUP BY study_period, borough
 ORDER BY study_period, avg_tip_rate DESC, borough""",
+    "zone_rows_of_catalog_tables": """SELECT l_partkey % 40 AS zone_id, n_name AS zone, count(*) AS trip_count,
+       max(l_extendedprice) AS highest_price
+FROM lineitem LEFT JOIN nation ON l_partkey % 40 = n_nationkey
+WHERE l_quantity > 1 GROUP BY 1, 2 ORDER BY zone_id""",
     "controlled_comparison": _controlled("borough, pickup_hour"),
     "controlled_comparison_by_zone": _controlled("zone, pickup_hour", 2),
     "month_study_shared_scan": f"""{_MONTH}

@@ -165,6 +165,51 @@ def test_catalog_tables(spark, tmp_path, lookup_folder):
     assert month_study.tip_rate_by_borough(table, lookup).count() == 2
 
 
+def test_a_lookup_with_another_header_is_refused(spark, tmp_path):
+    month_files(spark, tmp_path / "trips")
+    folder = tmp_path / "reordered"
+    folder.mkdir()
+    (folder / "zones.csv").write_text('"Borough","LocationID","Zone","service_zone"\n"EWR","1","Newark","EWR"\n')
+    _, lookup = catalog.register_tables(spark, "reordered_db", str(tmp_path / "trips" / "trips_2025-03.parquet"), str(folder))
+    with pytest.raises(Exception, match="header"):
+        lookup.collect()
+
+
+def test_tables_by_month_read_their_folders_only(spark, tmp_path, lookup_folder, capsys):
+    month_files(spark, tmp_path)
+    write_monthly(read_trips(spark, str(tmp_path / "trips_*.parquet")), str(tmp_path / "by_month"))
+    for _ in range(2):
+        table, lookup = catalog.register_tables(spark, "month_db", str(tmp_path / "by_month"), lookup_folder, month_folders=True)
+    assert spark.sql("SHOW PARTITIONS month_db.yellow_taxi_trips").count() == 2
+    study = MonthStudy()
+    study = replace(study, cohorts=in_month_folders(study.cohorts))
+    rows = month_study.tip_rate_by_borough(table, lookup, study)
+    assert values(rows) == values(month_study.tip_rate_by_borough(read_trips(spark, str(tmp_path / "trips_*.parquet")), lookup))
+    plan = explained(rows)
+    assert "PartitionFilters: [" in plan and "trip_month" in plan.split("PartitionFilters: ")[1].splitlines()[0]
+    assert "tpep_pickup_datetime" not in plan.split("ReadSchema: ")[1].splitlines()[0]
+    jobs.main(["month-study", "--database", "month_db", "--out", str(tmp_path / "cloud"), "--month-folders"])
+    assert "tip_rate_by_borough" in capsys.readouterr().out
+    # a month that comes later is known after the next call
+    more = trips(spark, [trip(tpep_pickup_datetime=datetime(2025, 9, 1))]).withColumn("trip_month", F.lit(202509))
+    more.write.mode("append").partitionBy("trip_month").parquet(str(tmp_path / "by_month"))
+    table, _ = catalog.register_tables(spark, "month_db", str(tmp_path / "by_month"), lookup_folder, month_folders=True)
+    assert table.filter("trip_month = 202509").count() == 1
+
+
+def test_tables_of_others_are_looked_at_before_the_study(spark, tmp_path, lookup_folder):
+    month_files(spark, tmp_path)
+    catalog.register_tables(spark, "plain_db", str(tmp_path / "trips_2025-03.parquet"), lookup_folder)
+    assert len(catalog.registered_tables(spark, "plain_db")) == 2
+    with pytest.raises(ValueError, match="no folders by trip_month"):
+        catalog.registered_tables(spark, "plain_db", month_folders=True)
+    spark.sql("CREATE DATABASE IF NOT EXISTS bad_db")
+    spark.sql("CREATE TABLE IF NOT EXISTS bad_db.taxi_zone_lookup (LocationID INT) USING parquet")
+    spark.sql("CREATE TABLE IF NOT EXISTS bad_db.yellow_taxi_trips (fare_amount STRING) USING parquet")
+    with pytest.raises(ValueError, match="bad_db: missing column tpep_pickup_datetime.*column LocationID is int"):
+        catalog.registered_tables(spark, "bad_db")
+
+
 def test_one_csv_part_in_order_replaced_on_rewrite(spark, tmp_path):
     frame = spark.range(0, 200, 1, 4).select(F.col("id"), (F.col("id") % 7).alias("k"))
     path = str(tmp_path / "out")

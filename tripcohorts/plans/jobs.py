@@ -20,7 +20,7 @@ from tripcohorts.plans import date_study, month_study, reports
 from tripcohorts.session import build_session, cut_lineage, remove_checkpoints
 from tripcohorts.sinks.monthly import write_monthly
 from tripcohorts.sinks.results import write_single_csv
-from tripcohorts.sources.catalog import TRIPS_TABLE, ZONES_TABLE, register_tables
+from tripcohorts.sources.catalog import register_tables, registered_tables
 from tripcohorts.sources.results import read_result
 from tripcohorts.sources.tables import read_trips, read_zones
 
@@ -87,10 +87,12 @@ def main(arguments: list[str] | None = None) -> None:
     months = jobs.add_parser("month-study", help="month-set cohorts, from catalog tables")
     months.add_argument("--database", required=True)
     months.add_argument("--out", required=True)
+    months.add_argument("--month-folders", action="store_true", help="the table was registered so")
     tables = jobs.add_parser("register", help="create the database and both external tables")
     tables.add_argument("--database", required=True)
     tables.add_argument("--trips", required=True, help="folder of Parquet files")
     tables.add_argument("--zones", required=True, help="folder of the zone lookup CSV")
+    tables.add_argument("--month-folders", action="store_true", help="trips are laid out by by-month")
     layout = jobs.add_parser("by-month", help="rewrite trips with one folder per month")
     layout.add_argument("--trips", nargs="+", required=True)
     layout.add_argument("--out", required=True)
@@ -116,14 +118,16 @@ def _date_job(spark: SparkSession, chosen: argparse.Namespace) -> None:
 
 
 def _month_job(spark: SparkSession, chosen: argparse.Namespace) -> None:
-    trips = spark.table(f"{chosen.database}.{TRIPS_TABLE}")
-    zones = spark.table(f"{chosen.database}.{ZONES_TABLE}")
+    trips, zones = registered_tables(spark, chosen.database, chosen.month_folders)
+    study = MonthStudy()
+    if chosen.month_folders:
+        study = replace(study, cohorts=in_month_folders(study.cohorts))
     show({"total_row_count": month_study.total_row_count(trips)})
-    show(run_month_study(trips, zones, chosen.out))
+    show(run_month_study(trips, zones, chosen.out, study))
 
 
 def _register_job(spark: SparkSession, chosen: argparse.Namespace) -> None:
-    for table in register_tables(spark, chosen.database, chosen.trips, chosen.zones):
+    for table in register_tables(spark, chosen.database, chosen.trips, chosen.zones, chosen.month_folders):
         table.printSchema()
 
 
