@@ -71,9 +71,9 @@ def anchors(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def spelled(anchor: tuple[np.ndarray, np.ndarray]) -> str:
-    """Distances (at most 65,535 each) and hashes as base64."""
+    """Distances and hashes, four bytes each, as base64."""
     places, hashes = anchor
-    gaps = np.minimum(np.diff(places, prepend=0), 0xFFFF).astype("<u2")
+    gaps = np.diff(places, prepend=0).astype("<u4")
     return base64.b64encode(gaps.tobytes() + hashes.astype("<u4").tobytes()).decode()
 
 

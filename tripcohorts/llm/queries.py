@@ -65,15 +65,15 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def language_of_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The same for web pages, with the language they declare, their address and their host."""
+    """The same for web pages, with the language they declare, their address and their host.
+
+    A row for each page, repeated ids and pages without one included; a page without text has its
+    declaration, address and host only.
+    """
     model = language.fit(table(spark, folder, "documents"))
     found = pages.main_text(table(spark, folder, "pages"))
-    told = table(spark, folder, "pages").select(
-        "page_id", F.nullif(F.regexp_extract("html", r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-z0-9_-]+)", 1), F.lit("")).alias("declared")
-    )
     host = F.nullif(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1), F.lit(""))
-    rows = found.join(told, "page_id").withColumn("host", host)
-    return language.identify(rows, model, "page_id", declared="declared", address="url", host="host")
+    return language.identify(found.withColumn("host", host), model, "page_id", declared="declared", address="url", host="host")
 
 
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,9 +1,14 @@
 """Secrets in texts: single spans by their form, and weak ones by the parts that occur with them.
 
 A lone token or password-like word says little, and neither does a user name or an address. They
-are reported only together: parts whose reach meets another part's within the same scope (text
-between blank lines) are joined as intervals, and a weak part counts if it meets parts that
-complete it: a secret an identifier or an endpoint, an identifier or endpoint a secret.
+are reported only together: parts are joined with the scopes they lie in, and a weak part counts if
+its scope also holds parts that complete it: a secret an identifier or an endpoint, an identifier or
+endpoint a secret. A scope is the text between blank lines, however long; the section of a
+configuration file, from a line like [name] to the next one, and a fenced block of code are
+scopes as a whole, blank lines included.
+
+Every pattern goes over a text once: mail addresses and links are found by their @ and :// and then
+extended to both sides.
 
 Edge cases: a null or empty text has no spans. Spans of one kind never overlap; spans of different
 kinds may. Repeated rows each get their row. An empty table gives no rows; further columns are
@@ -16,6 +21,7 @@ import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
@@ -38,19 +44,23 @@ BASE_KINDS = KINDS[:3]
 
 #: Weak parts.
 _WEAK_VALUE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=-])", re.ASCII)
-_WEAK_PASS = re.compile(r"""\b(?:pass|pwd|pin|auth|bearer|private_?key)["']?\x20*[:=]?\x20*["']?([^\s"',;]{4,})""", re.IGNORECASE | re.ASCII)
+_WEAK_PASS = re.compile(r"""\b(?:pass|pwd|pin|auth|bearer|private_?key)["']?\x20*+(?:[:=]\x20*+)?["']?([^\s"',;]{4,})""", re.IGNORECASE | re.ASCII)
 _IDENTIFIER = re.compile(
     r"""\b(?:user(?:_?name|_?id)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""",
     re.IGNORECASE | re.ASCII,
 )
-_MAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.ASCII)
-_URL = re.compile(r"""\b[a-z][a-z0-9+.-]*://[^\s"'<>]+""", re.IGNORECASE | re.ASCII)
+_NAME_BACKWARDS = re.compile(r"[A-Za-z0-9._%+-]+", re.ASCII)
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.ASCII)
+_SCHEME_BACKWARDS = re.compile(r"[a-z0-9+.-]+", re.IGNORECASE | re.ASCII)
+_SCHEME_START = re.compile(r"\b[a-z]", re.IGNORECASE | re.ASCII)
+_REST_OF_LINK = re.compile(r"""[^\s"'<>]+""")
 _ADDRESS = re.compile(r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]{2,5})?(?![0-9.])", re.ASCII)
 
-#: Code points that a part reaches to either side, and bits for each character of a weak token.
-REACH, LEAST_ENTROPY = 120, 3.0
+#: Bits for each character of a weak token.
+LEAST_ENTROPY = 3.0
 
-_SCOPE_END = re.compile(r"\n[^\S\n]*\n")
+#: Beginnings of scopes: blank lines, lines like [name], and fences of code.
+_BORDER = re.compile(r"^(?:[^\S\n]*$|\[[^\[\]\n]{1,80}\][^\S\n]*$|(?:```|~~~).*$)", re.MULTILINE)
 _ASSIGN_WORDS = ("passw", "secret", "token", "api")
 _WEAK_WORDS = re.compile(r"pass|pwd|pin|auth|bearer|private|user|login|account|client|access", re.IGNORECASE | re.ASCII)
 
@@ -72,13 +82,36 @@ def base_spans(text: str) -> list[Span]:
     return spans + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+def _mails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost addresses: a name before each @, which begins after the one before, and a domain with a dot."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        name = _NAME_BACKWARDS.match(text[done:at][::-1])
+        domain = name and _DOMAIN.match(text, at + 1)
+        if domain:
+            yield at - name.end(), domain.end()
+        done = domain.end() if domain else at + 1
+        at = text.find("@", done)
+
+
+def _links(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost links: from a letter at the beginning of a word before each :// up to white space, a quote or an angle."""
+    done, at = 0, text.find("://")
+    while at >= 0:
+        scheme = _SCHEME_BACKWARDS.match(text[done:at][::-1])
+        start = scheme and _SCHEME_START.search(text, at - scheme.end(), at)
+        rest = start and _REST_OF_LINK.match(text, at + 3)
+        if rest:
+            yield start.start(), rest.end()
+        done = rest.end() if rest else at + 3
+        at = text.find("://", done)
+
+
 def weak_spans(text: str) -> list[Span]:
     """Parts that say little by themselves."""
     spans: list[Span] = []
-    if "@" in text:
-        spans += [("identifier", *m.span()) for m in _MAIL.finditer(text)]
-    if "://" in text:
-        spans += [("endpoint", *m.span()) for m in _URL.finditer(text)]
+    spans += [("identifier", *span) for span in _mails(text)]
+    spans += [("endpoint", *span) for span in _links(text)]
     spans += [("endpoint", *m.span()) for m in _ADDRESS.finditer(text)]
     if _WEAK_WORDS.search(text):
         spans += [("identifier", *m.span(1)) for m in _IDENTIFIER.finditer(text)]
@@ -105,40 +138,42 @@ _COMPLETED_BY = {
 }
 
 
-def linked(text: str, base: list[Span], weak: list[Span]) -> list[Span]:
-    """Weak parts with a part that completes them in their scope, where the reaches of both meet.
+def scopes(text: str) -> list[int]:
+    """Where scopes begin, but for the first.
 
-    An interval join on sorted starts: each part looks only at the parts that begin near it.
+    A blank line begins a scope unless a section or a fence is open; those begin scopes and end at the next
+    section, or at the closing fence.
     """
+    starts, section, fence = [], False, ""
+    for border in _BORDER.finditer(text):
+        line = border[0].strip()
+        if fence:
+            if line.startswith(fence):
+                fence, section = "", False
+                starts.append(border.end())
+        elif line[:3] in ("```", "~~~"):
+            fence = line[:3]
+            starts.append(border.start())
+        elif line:
+            section = True
+            starts.append(border.start())
+        elif not section:
+            starts.append(border.end())
+    return starts
+
+
+def linked(text: str, base: list[Span], weak: list[Span]) -> list[Span]:
+    """Weak parts with a part that completes them in the scope they begin in: a join of sorted intervals."""
     weak = _outside(weak, base)
     if not weak:
         return []
-    ends = [m.end() for m in _SCOPE_END.finditer(text)]
-    by_kind: dict[str, list[tuple[int, int]]] = {}
-    for kind, start, end in sorted([*base, *weak], key=lambda s: s[1]):
-        by_kind.setdefault(kind, []).append((start, end))
-    starts = {kind: [s for s, _ in spans] for kind, spans in by_kind.items()}
-    longest = {kind: max(e - s for s, e in spans) for kind, spans in by_kind.items()}
-    kept = []
-    for kind, start, end in weak:
-        scope = bisect_right(ends, start)
-        for other in _COMPLETED_BY[kind]:
-            spans = by_kind.get(other, [])
-            first = bisect_left(starts.get(other, []), start - 2 * REACH - longest.get(other, 0))
-            if any(
-                e >= start - 2 * REACH and s <= end + 2 * REACH and bisect_right(ends, s) == scope
-                for s, e in _until(spans, first, end + 2 * REACH)
-            ):
-                kept.append((kind, start, end))
-                break
-    return kept
-
-
-def _until(spans: list[tuple[int, int]], first: int, limit: int):
-    for place in range(first, len(spans)):
-        if spans[place][0] > limit:
-            return
-        yield spans[place]
+    starts = scopes(text)
+    kinds: dict[int, set[str]] = {}
+    for kind, start, _ in [*base, *weak]:
+        kinds.setdefault(bisect_right(starts, start), set()).add(kind)
+    return [
+        span for span in weak if not kinds[bisect_right(starts, span[1])].isdisjoint(_COMPLETED_BY[span[0]])
+    ]
 
 
 def _outside(weak: list[Span], base: list[Span]) -> list[Span]:

@@ -30,9 +30,6 @@ from tripcohorts.llm.words import LOWER, PART_BYTES, Rolling, Words, mixed, spli
 #: Labelled rows that the model is fitted on at most: those whose ids hash lowest.
 TRAINING_ROWS = 20_000
 
-#: Words in the model at most, those with the highest bound; counted words need not fit anywhere.
-MODEL_WORDS = 20_000
-
 #: Strength of the prior, in words, besides half an occurrence of each word; standard deviations of the
 #: lower bound; share of the different toxic texts that must hold a word (a group of near copies does not).
 PRIOR_WORDS, DEVIATIONS, LEAST_SHARE = 500.0, 3.0, 0.02
@@ -121,8 +118,7 @@ def log_odds(counts: DataFrame, texts: int) -> tuple[np.ndarray, np.ndarray]:
     known = (
         counts.select("word", "toxic", "other", "texts", bound.alias("bound"))
         .filter((F.col("bound") > 0) & (F.col("texts") >= max(3, LEAST_SHARE * texts)))
-        .orderBy(F.desc("bound"), "word")
-        .limit(MODEL_WORDS)
+        # each is in a share of the toxic texts: at most 1 / LEAST_SHARE times the words of one text
         .toPandas()
     )
     words = known["word"].to_numpy(np.int64).view(np.uint64)
@@ -131,28 +127,30 @@ def log_odds(counts: DataFrame, texts: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def maximal_segments(places: np.ndarray, scores: np.ndarray, drift: float = DRIFT) -> list[tuple[float, int, int]]:
-    """(score, first, last place) of all maximal segments, in one pass.
+    """(score, first, last place) of all maximal segments, in time that grows with the places.
 
     `places` are those with a positive score; all between them score `drift`. Each candidate holds
     the sum before it and at its end; a later one joins with the nearest earlier one that begins
-    lower, if that has not yet reached higher.
+    lower, if that has not yet reached higher. A candidate also holds where that earlier one is, so the search
+    jumps from link to link and never looks twice at what a link passes over.
     """
-    found: list[tuple[float, float, int, int]] = []
+    found: list[tuple[float, float, int, int, int]] = []
     total, at = 0.0, -1
     for place, score in zip(places.tolist(), scores.tolist(), strict=True):
         total += drift * (place - at - 1)
-        one = (total, total + score, place, place)
-        total, at = one[1], place
+        begin, end, first = total, total + score, place
+        total, at = end, place
+        lower = len(found) - 1
         while True:
-            back = len(found) - 1
-            while back >= 0 and found[back][0] >= one[0]:
-                back -= 1
-            if back < 0 or found[back][1] >= one[1]:
-                found.append(one)
+            while lower >= 0 and found[lower][0] >= begin:
+                lower = found[lower][4]
+            if lower < 0 or found[lower][1] >= end:
+                found.append((begin, end, first, place, lower))
                 break
-            one = (found[back][0], one[1], found[back][2], place)
-            del found[back:]
-    return [(end - begin, first, last) for begin, end, first, last in found]
+            begin, _, first, _, before = found[lower]
+            del found[lower:]
+            lower = before
+    return [(end - begin, first, last) for begin, end, first, last, _ in found]
 
 
 @dataclass
