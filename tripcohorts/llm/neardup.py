@@ -264,17 +264,92 @@ def _sets(table: pd.DataFrame) -> list[np.ndarray]:
     return [np.frombuffer(shingles, np.uint64) for shingles in table["shingles"]]
 
 
+class Block:
+    """The links of one block, searched for from set to set among those that nothing has reached yet.
+
+    Two linked sets share one of the rarest shingles of each: so many that the others alone could not make
+    the link. Only sets that share such a one are compared whole. A set that links have reached
+    leaves the index, so many near copies are found once and not from each other again.
+    """
+
+    def __init__(self, sets: list[np.ndarray], percent: int):
+        self.percent = percent
+        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        self.ends = np.cumsum(self.sizes)
+        self.starts = self.ends - self.sizes
+        values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        _, names, counts = np.unique(values, return_inverse=True, return_counts=True)
+        # shingles are numbered by how many sets hold them
+        rank = np.empty(len(counts), np.int64)
+        rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.lexsort((rank[names], owner))
+        self.shingles = rank[names][order]
+        #: at least ceil(percent of the size) are common with a linked set
+        self.rare = self.sizes - -(-percent * self.sizes // 100) + 1
+        self.marked = np.zeros(len(counts), bool)
+        self.open = np.ones(len(sets), bool)
+        self._index()
+
+    def _flat(self, places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first shingles of some sets after each other, and where each set's begin."""
+        begins = np.cumsum(counts) - counts
+        at = np.repeat(self.starts[places] - begins, counts) + np.arange(int(counts.sum()))
+        return self.shingles[at], begins
+
+    def _index(self) -> None:
+        places = np.flatnonzero(self.open & (self.sizes > 0))
+        held, _ = self._flat(places, self.rare[places])
+        order = np.argsort(held, kind="stable")
+        self.keys, self.owners = held[order], np.repeat(places, self.rare[places])[order]
+        self.indexed = len(places)
+
+    def take(self, places: np.ndarray) -> None:
+        """Leaves sets out from now on."""
+        self.open[places] = False
+        if 2 * int(self.open.sum()) < self.indexed:
+            self._index()
+
+    def linked(self, place: int) -> np.ndarray:
+        """The open sets that are linked with a set."""
+        own = self.shingles[self.starts[place] : self.ends[place]]
+        rare = own[: self.rare[place]]
+        low, high = np.searchsorted(self.keys, rare), np.searchsorted(self.keys, rare, side="right")
+        sizes = high - low
+        total = int(sizes.sum())
+        if not total:
+            return np.zeros(0, np.int64)
+        at = np.repeat(low - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
+        maybe = np.unique(self.owners[at])
+        maybe = maybe[self.open[maybe]]
+        sizes = self.sizes[maybe]
+        fits = 100 * np.minimum(sizes, len(own)) >= self.percent * np.maximum(sizes, len(own))
+        maybe = maybe[fits]
+        if not len(maybe):
+            return maybe
+        self.marked[own] = True
+        held, begins = self._flat(maybe, self.sizes[maybe])
+        common = np.add.reduceat(self.marked[held].astype(np.int64), begins)
+        self.marked[own] = False
+        return maybe[100 * common >= self.percent * (self.sizes[maybe] + len(own) - common)]
+
+
 def _block_links(table: pd.DataFrame, percent: int) -> pd.DataFrame:
     """A link between each set and the smallest place that links of this block reach."""
-    sets = _sets(table)
-    block = Links(table["id"].to_numpy(), sets, percent)
-    root = np.arange(len(sets))
-    for place, one in enumerate(sets):
-        met = np.unique(root[block.of(one)])
-        if len(met) > 1 or met[0] != root[place]:
-            met = np.union1d(met, root[place])
-            root[np.isin(root, met)] = met[0]
-    return pd.DataFrame({"a": block.ids, "b": block.ids[root]})
+    ids = table["id"].to_numpy()
+    block = Block(_sets(table), percent)
+    root = np.arange(len(ids))
+    for first in range(len(ids)):
+        if not block.open[first]:
+            continue
+        block.take(np.array([first]))
+        todo = [first]
+        while todo:
+            found = block.linked(todo.pop())
+            root[found] = first
+            block.take(found)
+            todo += found.tolist()
+    return pd.DataFrame({"a": ids, "b": ids[root]})
 
 
 def confirmed_links(sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
