@@ -22,6 +22,7 @@ PERCENTILE_ERROR = 0.01
 TAIL_PERCENTILES = (0.95, 0.99, 0.995, 0.999, 0.9999)
 
 
+# Fixed values, too: the defaults of the three classes below.
 @dataclass(frozen=True)
 class Thresholds:
     """Upper bounds of a usual trip, and lower bounds of an extreme tip."""
