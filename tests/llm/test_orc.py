@@ -33,7 +33,9 @@ def files(request, monkeypatch):
     monkeypatch.setattr(orcfiles, "FILE_BYTES", request.param)
 
 
-def test_documents_come_back(spark, documents, files):
+@pytest.mark.parametrize("broadcast", [0, orcfiles.BROADCAST_FILES])
+def test_documents_come_back(spark, documents, files, broadcast, monkeypatch):
+    monkeypatch.setattr(orcfiles, "BROADCAST_FILES", broadcast)
     path = new_path(spark, "tokens")
     orcfiles.write_tokens(documents, path, WORDS)
     rows = documents.orderBy("doc_id").collect()

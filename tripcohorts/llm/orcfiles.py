@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripcohorts.llm.common import arrow_schema, map_texts, slices, text_of, total_bytes
+from tripcohorts.llm.common import arrow_schema, map_texts, slices, text_of, total_bytes, written
 from tripcohorts.llm.wordids import SLICE_BYTES, word_ids
 
 END_TOKEN = 2
@@ -32,6 +32,9 @@ END_TOKEN = 2
 #: Bytes of text for each file; a file's documents are sorted and encoded by one task as a stream.
 FILE_BYTES = 32 << 20
 
+#: Files whose totals are broadcast, some 20 bytes each.
+BROADCAST_FILES = 1_000_000
+
 #: Rows of an index entry, and bytes of a stripe while it is written.
 ROWS_AN_ENTRY, STRIPE_BYTES = 1000, 16 << 20
 
@@ -89,11 +92,15 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: Sequence[int] | None =
 
 
 def with_starts(tokens: DataFrame) -> DataFrame:
-    """The rows with `start`: the ids of all documents before, in the order they were written."""
+    """The rows with `start`: the ids of all documents before, in the order they were written.
+
+    Totals of the files are broadcast up to BROADCAST_FILES of them; beyond, Spark chooses how they meet the rows.
+    """
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     totals = tokens.groupBy("part").agg(F.sum("n_tokens").alias("held"))
-    firsts = totals.select("part", F.coalesce(F.sum("held").over(ahead), F.lit(0)).alias("first"))
-    return tokens.join(F.broadcast(firsts), "part").withColumn("start", F.col("first") + F.col("before"))
+    firsts = written(totals.select("part", F.coalesce(F.sum("held").over(ahead), F.lit(0)).alias("first")), "files")
+    known = F.broadcast(firsts) if firsts.count() <= BROADCAST_FILES else firsts
+    return tokens.join(known, "part").withColumn("start", F.col("first") + F.col("before"))
 
 
 def digests(tokens: DataFrame) -> DataFrame:
