@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from brute import repeats as plain
 from pyspark.sql import functions as F
 
@@ -52,3 +53,17 @@ def test_partly_equal_stretches_of_a_hot_anchor(spark, monkeypatch):
     found = repeats.remove_repeats(frame, 200).orderBy("doc_id").collect()
     assert [(r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found] == wanted
     assert sum(n > 0 for n, _, _ in wanted) >= 20
+
+
+def test_every_shard_is_a_partition(spark):
+    rows = repeats.anchor_rows(_rows(_texts(spark)), 37, 200)
+    found = repeats.matching_stretches(rows, 37)
+    assert found.rdd.getNumPartitions() == 37
+    assert found.select(F.spark_partition_id().alias("task")).distinct().count() > 1
+
+
+def test_a_text_beyond_the_positions_is_refused(monkeypatch):
+    monkeypatch.setattr(repeats, "_POSITION", np.uint64(500))
+    data, bounds = np.zeros(600, np.uint8), np.array([0, 600])
+    with pytest.raises(ValueError, match="more than 500 bytes"):
+        repeats.stretches(data, bounds, repeats.Rolling(data), 200)

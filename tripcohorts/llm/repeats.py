@@ -13,7 +13,7 @@ hashes, so that a string in very many documents spreads over the tasks.
 
 Edge cases: a null or empty text, and one shorter than `length`, has nothing to remove. Repeated rows
 are repeats of each other. Null ids are kept. An empty table gives no rows. A text is held whole by
-one task, with about a hundred bytes for each of its own.
+one task, with about a hundred bytes for each of its own; one of 256 MB is refused.
 """
 
 from __future__ import annotations
@@ -54,6 +54,8 @@ def stretches(data: np.ndarray, bounds: np.ndarray, rolling: Rolling, length: in
     """Anchor, first window and number of windows of each stretch, in order."""
     if len(data) < length:
         return (np.zeros(0, np.int64),) * 3
+    if len(data) > int(_POSITION):
+        raise ValueError(f"a text has more than {int(_POSITION)} bytes")
     change = np.zeros(len(data) + 1, np.int8)
     long = np.diff(bounds) >= length
     np.add.at(change, bounds[:-1][long], 1)
@@ -132,7 +134,7 @@ class Family:
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Single rows with their shard, in order of shards."""
+    """Single rows with their shard."""
     for batch in batches:
         for row, shard in enumerate(batch.column("shard").to_pylist()):
             yield shard, batch.slice(row, 1)
@@ -142,8 +144,11 @@ def _column(row: pa.RecordBatch, name: str, kind: str) -> np.ndarray:
     return np.frombuffer(row.column(name)[0].as_buffer(), kind)
 
 
-def _in_shards(rows: DataFrame, start, add, end, schema: str) -> DataFrame:
-    """Every shard by itself: `start` makes its state, `add` takes each row, `end` gives its result."""
+def _in_shards(rows: DataFrame, shards: int, start, add, end, schema: str) -> DataFrame:
+    """Every shard by itself: `start` makes its state, `add` takes each row, `end` gives its result.
+
+    A shard is a partition, so tasks stay as large as a shard however many texts there are.
+    """
     types = arrow_schema(rows.sparkSession, schema)
 
     def run(batches):
@@ -157,7 +162,7 @@ def _in_shards(rows: DataFrame, start, add, end, schema: str) -> DataFrame:
         if state is not None and (out := end(state)) is not None:
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in types], schema=types)
 
-    return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+    return rows.repartitionById(shards, "shard").mapInArrow(run, schema)
 
 
 def anchor_rows(texts: DataFrame, shards: int, length: int) -> DataFrame:
@@ -185,7 +190,7 @@ def anchor_rows(texts: DataFrame, shards: int, length: int) -> DataFrame:
     return map_texts(texts.select("doc", "tag", "text"), work, schema, limit=PART_BYTES)
 
 
-def matching_stretches(rows: DataFrame) -> DataFrame:
+def matching_stretches(rows: DataFrame, shards: int) -> DataFrame:
     """doc, tag, at, off, n, what of the stretches that match another one."""
 
     def add(family: Family, row: pa.RecordBatch) -> None:
@@ -194,7 +199,7 @@ def matching_stretches(rows: DataFrame) -> DataFrame:
     def end(family: Family) -> dict | None:
         return family.matches()
 
-    return _in_shards(rows, Family, add, end, "doc long, tag int, at int, off int, n int, what int")
+    return _in_shards(rows, shards, Family, add, end, "doc long, tag int, at int, off int, n int, what int")
 
 
 def window_rows(open_texts: DataFrame, shards: int, length: int) -> DataFrame:
@@ -219,7 +224,7 @@ def window_rows(open_texts: DataFrame, shards: int, length: int) -> DataFrame:
     return map_texts(open_texts, work, schema, limit=PART_BYTES)
 
 
-def repeated_windows(rows: DataFrame) -> DataFrame:
+def repeated_windows(rows: DataFrame, shards: int) -> DataFrame:
     """doc, tag, at of windows that occur elsewhere."""
     kinds = {"doc": "<i8", "tag": "<i4", "at": "<i4", "window": "<u8"}
 
@@ -236,7 +241,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
             return None
         return {name: np.concatenate([row[name] for row in state])[repeated] for name in ("doc", "tag", "at")}
 
-    return _in_shards(rows, list, add, end, "doc long, tag int, at int")
+    return _in_shards(rows, shards, list, add, end, "doc long, tag int, at int")
 
 
 def _entries(part: pa.RecordBatch, what: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -281,7 +286,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, texts: bool = Fal
         *([F.struct(*others).alias("others")] if texts and others else []),
     )
     shards = max(12, -(-total_bytes(documents) // SHARD_TEXT))
-    found = matching_stretches(anchor_rows(rows, shards, length))
+    found = matching_stretches(anchor_rows(rows, shards, length), shards)
     listed = found.groupBy("doc", "tag").agg(F.collect_list(F.struct("at", "off", "n", "what")).alias("found"))
     marked = written(rows.join(listed.hint("shuffle_hash"), ["doc", "tag"], "left"), "marked")
     is_open = F.exists("found", lambda entry: entry["what"] >= OPEN)
@@ -290,7 +295,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, texts: bool = Fal
     shards = max(12, -(-count // SHARD_WINDOWS))
     windows = window_rows(marked.filter(is_open).select("doc", "tag", "text", "found"), shards, length)
     one = F.struct("at", F.lit(0).alias("off"), F.lit(1).alias("n"), F.lit(WHOLE).alias("what"))
-    runs = repeated_windows(windows).groupBy("doc", "tag").agg(F.collect_list(one).alias("more"))
+    runs = repeated_windows(windows, shards).groupBy("doc", "tag").agg(F.collect_list(one).alias("more"))
     closed = marked.filter(~F.coalesce(is_open, F.lit(False)))
     opened = marked.filter(is_open).join(runs.hint("shuffle_hash"), ["doc", "tag"], "left")
     more = F.concat(F.col("found"), F.coalesce("more", F.array().cast(opened.schema["more"].dataType)))
