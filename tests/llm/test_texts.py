@@ -135,6 +135,21 @@ def test_documents_of_frequent_lines_are_rejected(spark):
     assert found[50]["kept"] and found[60]["kept"]
 
 
+def test_the_limit_on_lines_stays_in_large_hosts(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LEAST_LIMIT", 3)
+    monkeypatch.setattr(quality, "MOST_LIMIT", 6)
+
+    def frequent(size: int, holders: int) -> int:
+        """Frequent lines on a host of `size` documents with a line that `holders` of them hold."""
+        rows = [(i, f"own line {i}" + ("\nthe line" if i < holders else ""), "a") for i in range(size)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        return quality.frequent_lines(quality.measure(frame)).count()
+
+    assert [frequent(20, holders) for holders in (3, 4)] == [0, 1]
+    assert [frequent(200, holders) for holders in (4, 5)] == [0, 1]
+    assert [frequent(1000, holders) for holders in (6, 7)] == [0, 1]
+
+
 def test_base_spans(documents, odd_documents, no_documents):
     for frame in (documents, odd_documents):
         found = secrets.digests(secrets.scan(frame)).collect()

@@ -55,7 +55,7 @@ counted AS (
   FROM (SELECT DISTINCT r, host, plain FROM spoken WHERE r IN (SELECT r FROM firsts)) GROUP BY host, plain),
 frequent AS (
   SELECT counted.host, plain FROM counted JOIN hosts ON counted.host = hosts.host
-  WHERE counted.texts > 20 AND counted.texts > 0.02 * hosts.texts),
+  WHERE 100 * counted.texts > least(greatest(2 * hosts.texts, 2000), 100000)),
 removed AS (
   SELECT r, sum(n) AS n FROM spoken JOIN frequent ON spoken.host = frequent.host AND spoken.plain = frequent.plain
   GROUP BY r),

@@ -24,8 +24,10 @@ LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
-#: A line is over the limits in more documents than these, and this share, of its host.
-MOST_DOCUMENTS, MOST_SHARE = 20, 0.02
+#: A line is over the limits in more than this percentage of its host's documents. The limit is at least LEAST_LIMIT
+#: documents, so that a few pages of a small host prove nothing, and never above MOST_LIMIT: what that many hold is
+#: repeated however large the host is.
+MOST_PERCENT, LEAST_LIMIT, MOST_LIMIT = 2, 20, 1000
 
 #: The share of its words that a document must keep.
 LEAST_KEPT_SHARE = 0.3
@@ -109,12 +111,14 @@ def measure(documents: DataFrame, host: str = "source") -> DataFrame:
 def frequent_lines(measured: DataFrame) -> DataFrame:
     """host, line of lines in more documents of the host than the limits allow."""
     distinct = measured.groupBy("host", "content").agg(F.min("row").alias("row"))
-    sizes = distinct.groupBy("host").agg((F.count("*") * MOST_SHARE).alias("share"))
+    # in hundredths of a document
+    least, most = F.lit(100 * LEAST_LIMIT), F.lit(100 * MOST_LIMIT)
+    limits = distinct.groupBy("host").agg(F.least(F.greatest(MOST_PERCENT * F.count("*"), least), most).alias("limit"))
     once = measured.select("row", F.explode(F.array_distinct("lines")).alias("line"), "host").join(
         distinct.select("row"), "row", "left_semi"
     )
-    counts = once.groupBy("host", "line").agg(F.count("*").alias("documents")).filter(F.col("documents") > MOST_DOCUMENTS)
-    return counts.join(sizes, "host").filter(F.col("documents") > F.col("share")).select("host", "line")
+    counts = once.groupBy("host", "line").agg(F.count("*").alias("documents")).filter(F.col("documents") > LEAST_LIMIT)
+    return counts.join(limits, "host").filter(100 * F.col("documents") > F.col("limit")).select("host", "line")
 
 
 def apply_rules(documents: DataFrame, host: str = "source") -> DataFrame:
