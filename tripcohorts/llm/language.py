@@ -1,11 +1,12 @@
 """Language of texts by Bayesian fusion of what the text, its markup, its address and its host say.
 
 The text gives a likelihood for each language (bytes in fours, naive Bayes, damped since neighbouring
-fours overlap). A declared language and the suffix of the address are observed through confusion
-tables. The prior of a language is that of the host, smoothed towards hosts of the same address
-suffix and these towards all texts, from sums of the texts' own posteriors over the whole table. A
-class "und" stands for text of no known language; texts whose best class it is, or that have no
-clear best one, are rejected.
+fours overlap). A declared language is observed through a confusion table: how often each language is
+declared so, summed over all texts that are sure by themselves. The prior of a language is that of
+the host, smoothed towards the address suffix and this towards all texts, from sums of the texts' own
+posteriors over the whole table. What a suffix or a declaration is believed to say at first counts for
+some texts only, and the sums outweigh it. A class "und" stands for text of no known language, of which
+a declaration is never learned; texts whose best class it is, or that have no clear best one, are rejected.
 
 Edge cases: a null or empty text says nothing; without any other evidence it is "und" and rejected,
 with a declared language it is as sure as that declaration. Labels and declarations are whole tags, in lower
@@ -43,13 +44,17 @@ DAMPING, FULL_GROUPS = 0.25, 400
 #: Log-likelihood of a group in text of no known language, below the mean of the languages.
 UNKNOWN_COST = 2.5
 
-#: Share of right declarations and address suffixes; weight of the suffix's and of all texts' shares in a prior.
-DECLARED_RIGHT, SUFFIX_RIGHT, SUFFIX_WEIGHT, ALL_WEIGHT = 0.9, 0.6, 20.0, 20.0
+#: Share of right declarations before any is seen, the texts of a language that this counts for, and the posterior by
+#: its own words that a text needs to be counted.
+DECLARED_RIGHT, DECLARED_WEIGHT, SURE = 0.9, 20.0, 0.9
+
+#: Share of right address suffixes before any is seen; weight of the suffix's and of all texts' shares in a prior.
+SUFFIX_RIGHT, SUFFIX_WEIGHT, ALL_WEIGHT = 0.6, 20.0, 20.0
 
 #: Prior share of text of no known language; posterior that a kept text needs.
 UNKNOWN_SHARE, LEAST_POSTERIOR = 0.01, 0.5
 
-#: Country suffixes of addresses that point to a language.
+#: Country suffixes of addresses that point to a language at first.
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "ie": "en", "au": "en"}
 
 
@@ -210,24 +215,35 @@ def identify(
     places = known.select(F.coalesce("suffix", F.lit(blank)).alias("suffix"), F.coalesce("host", F.lit(blank)).alias("host"), "own")
     hosts = written(_sums(places, size, "suffix", "host"), "hosts")
     suffixes = _sums(hosts.withColumnRenamed("shares", "own"), size, "suffix")
-    suffixes = suffixes.select("suffix", smoothed("shares", overall, ALL_WEIGHT).alias("above"))
-    priors = hosts.join(suffixes, "suffix").select("suffix", "host", smoothed("shares", F.col("above"), SUFFIX_WEIGHT).alias("prior"))
+    names = F.array(*[F.lit(name) for name in classes])
 
-    def observed(column: str, right: float, languages: Column) -> Column:
-        """Log-likelihood of an observation for each class; 0 where it names no known language."""
+    def told_by(label: Column, right: float) -> Column:
+        """Rate of an observation that names one of the languages for each class, before any is seen."""
         wrong = (1 - right) / max(1, size - 1)
-        names = F.array(*[F.lit(name) for name in classes])
-        told = F.transform(names, lambda name: F.log(F.when(languages == name, F.lit(right)).otherwise(F.lit(wrong))))
-        return F.when(languages.isin(*model.languages), told).otherwise(F.transform(names, lambda name: F.lit(0.0)))
+        return F.transform(names, lambda name: F.when(label == name, F.lit(right)).otherwise(F.lit(wrong)))
 
     pointed = F.coalesce(*[F.when(F.col("suffix") == suffix, F.lit(name)) for suffix, name in SUFFIX_LANGUAGE.items()])
-    joined = known.withColumns(
-        {"at": F.coalesce("suffix", F.lit(blank)), "of": F.coalesce("host", F.lit(blank))}
-    ).join(priors.toDF("at", "of", "prior"), ["at", "of"], "left")
+    tilted = F.transform(F.zip_with(overall, told_by(pointed, SUFFIX_RIGHT), lambda p, rate: p * rate), F.ln)
+    first = F.when(pointed.isin(*model.languages), _normal(tilted)).otherwise(overall)
+    suffixes = suffixes.select("suffix", smoothed("shares", first, ALL_WEIGHT).alias("above"))
+    priors = hosts.join(suffixes, "suffix").select("suffix", "host", smoothed("shares", F.col("above"), SUFFIX_WEIGHT).alias("prior"))
+
+    # how often each language is declared so
+    sure = known.filter("declared is not null").filter(F.array_max("own") >= SURE)
+    told = written(_sums(sure, size, "declared"), "declared")
+    seen = F.array(*[F.lit(float(number)) for number in _sums(told.withColumnRenamed("shares", "own"), size).first()[0]])
+    nothing = F.transform(names, lambda name: F.lit(0.0))
+    believed = told_by(F.col("declared"), DECLARED_RIGHT)
+    rates = F.zip_with(F.coalesce("shares", nothing), believed, lambda n, p: n + DECLARED_WEIGHT * p)
+    rates = F.zip_with(rates, seen, lambda n, number: n / (number + DECLARED_WEIGHT))
+    rates = F.concat(F.slice(rates, 1, size - 1), F.slice(believed, size, 1))
+    rates = F.transform(rates, F.ln)
+
+    joined = known.withColumns({"at": F.coalesce("suffix", F.lit(blank)), "of": F.coalesce("host", F.lit(blank))})
+    joined = joined.join(priors.toDF("at", "of", "prior"), ["at", "of"], "left").join(told, "declared", "left")
     weights = F.transform(F.coalesce("prior", overall), lambda p: F.log(p + 1e-12))
-    for evidence in (F.col("found"), observed("declared", DECLARED_RIGHT, F.col("declared")), observed("suffix", SUFFIX_RIGHT, pointed)):
+    for evidence in (F.col("found"), F.when(F.col("declared").isNotNull(), rates).otherwise(nothing)):
         weights = F.zip_with(weights, evidence, lambda a, b: a + b)
-    names = F.array(*[F.lit(name) for name in classes])
     scored = joined.withColumn("posterior", _normal(weights))
     best = F.array_max("posterior")
     language = F.element_at(names, F.array_position("posterior", best).cast("int"))
