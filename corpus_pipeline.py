@@ -29,9 +29,11 @@ def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of five-word shingles at 0.8 or more connect."""
-    dropped = neardup.near_duplicates(docs.select("doc_id", "text")).filter(~F.col("kept"))
+    # a text without an id takes part under a number of its own, above all ids
+    numbered = F.coalesce(docs["doc_id"].cast("long"), F.lit(2**62) + F.pmod(F.xxhash64(text_of(docs["text"])), F.lit(2**61)))
+    dropped = neardup.near_duplicates(docs.select(numbered.alias("doc_id"), "text")).filter(~F.col("kept"))
     dropped = dropped.select(F.col("doc_id").alias("dropped_id")).distinct()
-    kept = docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
+    kept = docs.join(dropped, numbered == dropped["dropped_id"], "left_anti")
     # rows that repeat an id and text; only these are gathered
     again = docs.groupBy(docs["doc_id"].alias("again_id")).agg(F.count("*").alias("again")).filter("again > 1")
     again = again.select("again_id")
