@@ -34,6 +34,17 @@ def test_one_document_of_each_group_stays(spark, documents):
     assert sorted(r["doc_id"] for r in kept) == sorted(set(roots.values()))
 
 
+def test_copies_without_an_id_go(spark):
+    one, two, three = (" ".join(f"{word}{i}" for i in range(60)) for word in ("a", "b", "c"))
+    rows = [(1, one), (None, one), (None, two), (None, two), (None, two + " more"), (None, three), (None, None), (2, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.without_near_duplicates(spark, frame, SMALL).collect()]
+    assert (1, one) in kept and (None, one) not in kept
+    assert len([text for _, text in kept if text in (two, two + " more")]) == 1
+    assert kept.count((None, three)) == 1 and (2, None) in kept and (None, None) in kept
+    assert len(kept) == 5
+
+
 def test_stages_take_odd_and_empty_tables(spark, odd_documents, no_documents):
     for frame in (odd_documents, no_documents):
         docs = frame
