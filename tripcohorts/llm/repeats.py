@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripcohorts.llm.common import arrow_schema, map_texts, text_of, total_bytes, written
-from tripcohorts.llm.words import PART_BYTES, Rolling, text_bytes
+from tripcohorts.llm.words import Rolling, text_bytes
 
 LENGTH = 200
 
@@ -41,6 +41,9 @@ SHARD_TEXT = 24 << 20
 #: Windows of the second round that share a shard.
 SHARD_WINDOWS = 2 << 20
 
+#: Bytes of text in one part: of stretches, at some 70 bytes each; of windows, at some 130, since each byte can begin one.
+STRETCH_PART, WINDOW_PART = 1 << 20, 512 << 10
+
 _POSITION_BITS = np.uint64(28)
 _POSITION = (np.uint64(1) << _POSITION_BITS) - np.uint64(1)
 
@@ -187,7 +190,7 @@ def anchor_rows(texts: DataFrame, shards: int, length: int) -> DataFrame:
         return _by_shard((h % np.uint64(shards)).astype(np.int32), columns)
 
     schema = "shard int, " + ", ".join(f"{name} binary" for name in _COLUMNS)
-    return map_texts(texts.select("doc", "tag", "text"), work, schema, limit=PART_BYTES)
+    return map_texts(texts.select("doc", "tag", "text"), work, schema, limit=STRETCH_PART)
 
 
 def matching_stretches(rows: DataFrame, shards: int) -> DataFrame:
@@ -221,7 +224,7 @@ def window_rows(open_texts: DataFrame, shards: int, length: int) -> DataFrame:
         return _by_shard((windows % np.uint64(shards)).astype(np.int32), columns)
 
     schema = "shard int, doc binary, tag binary, at binary, window binary"
-    return map_texts(open_texts, work, schema, limit=PART_BYTES)
+    return map_texts(open_texts, work, schema, limit=WINDOW_PART)
 
 
 def repeated_windows(rows: DataFrame, shards: int) -> DataFrame:
@@ -325,7 +328,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, texts: bool = Fal
     names = ["doc_id", *(["others"] if texts and others else [])]
     kinds = [f"{name} {both.schema[name].dataType.simpleString()}" for name in names]
     schema = ", ".join([*kinds, *(["text string"] if texts else []), _RESULT])
-    result = map_texts(both, work, schema, limit=PART_BYTES)
+    result = map_texts(both, work, schema, limit=WINDOW_PART)
     if not texts:
         return result
     named = [F.col("others")[name].alias(name) if name in others else F.col(name) for name in documents.columns]
