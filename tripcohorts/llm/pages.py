@@ -2,9 +2,10 @@
 
 Markup tells menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments from
 the article, and a marked article is kept whole, even where other pages repeat it. Text in none of
-these is judged by its host: the word streams of the host's pages are concatenated, a suffix array
-finds runs of words that distinct pages share, the covered words are boilerplate, and unique runs stay.
-Streams hold what stands outside of marked articles, so boilerplate is learned from all pages.
+these, beside a marked article too, is judged by its host: the word streams of the host's pages are
+concatenated, a suffix array finds runs of words that distinct pages share, the covered words are
+boilerplate, and unique runs stay. Every host has its suffix array, and streams hold what stands outside
+of marked articles, so boilerplate is learned from all pages.
 
 A small host is one suffix array. The suffixes of a larger one are dealt out by a hash of their first
 words, so that equal ones meet wherever their pages are and no task takes a large host whole. Both find
@@ -121,20 +122,22 @@ class _Tags:
         return found if found >= 0 else len(self.page)
 
 
-def blocks_of(page: str) -> tuple[list[str], list[str], list[str], bool]:
-    """Blocks in marked articles, blocks outside of everything marked, other blocks, and whether an article is marked."""
+def blocks_of(page: str) -> tuple[list[str], list[str], list[str], list[int]]:
+    """Blocks in marked articles, blocks outside of everything marked, other blocks, and how many blocks of articles precede each of the second."""
     article: list[str] = []
     loose: list[str] = []
     other: list[str] = []
+    before: list[int] = []
     text: list[str] = []
     outside, depth = "", 0  # the element that hides what is in it, and elements of its name that are open
-    articles, any_article = 0, False
-    at = 0
+    articles = at = 0
 
     def close_block() -> None:
         block = " ".join("".join(text).split())
         text.clear()
         if block:
+            if not outside and not articles:
+                before.append(len(article))
             (other if outside else article if articles else loose).append(block)
 
     def add(raw: str) -> None:
@@ -166,18 +169,18 @@ def blocks_of(page: str) -> tuple[list[str], list[str], list[str], bool]:
             elif main and articles and not outside:
                 articles -= 1
         elif outside and main and outside not in ("article", "main") and outside in ("nav", "header", "aside", "form", "head", "menu"):
-            outside, depth, articles, any_article = "", 0, articles + 1, True
+            outside, depth, articles = "", 0, articles + 1
         elif outside:
             depth += name == outside and not match[3].endswith("/")
         elif hides:
             if not match[3].endswith("/"):
                 outside, depth = name, 1
         elif main:
-            articles, any_article = articles + 1, True
+            articles += 1
     rest = page[at:]
     add(re.sub(r"<[a-zA-Z/!?][^>]*$", "", rest))
     close_block()
-    return article, loose, other, any_article
+    return article, loose, other, before
 
 
 def shared_words(words: list[list[str]], texts: np.ndarray | None = None) -> list[np.ndarray]:
@@ -220,29 +223,41 @@ def shared_words(words: list[list[str]], texts: np.ndarray | None = None) -> lis
     return np.split(covered, np.cumsum(sizes)[:-1])
 
 
-def _left(blocks: list[str], open_from: int, covered: np.ndarray) -> str:
-    """The open blocks without the covered words."""
+def _left(blocks: list[str], open_from: int, covered: np.ndarray) -> list[str]:
+    """Each open block without the covered words."""
     at, kept = 0, []
     for place, block in enumerate(blocks):
         words = block.split(" ")
         left = [w for w, gone in zip(words, covered[at : at + len(words)], strict=True) if not gone]
         at += len(words)
-        if place >= open_from and left:
+        if place >= open_from:
             kept.append(" ".join(left))
-    return "\n".join(kept)
+    return kept
+
+
+def _in_order(article: str, before: list[int], left: list[str]) -> str:
+    """The blocks of the article and what is left of the open ones, in page order."""
+    blocks = article.split("\n") if article else []
+    merged, at = [], 0
+    for place, block in zip(before, left, strict=True):
+        merged += blocks[at:place]
+        at = place
+        if block:
+            merged.append(block)
+    return "\n".join(merged + blocks[at:])
 
 
 def _unique_runs(table: pd.DataFrame) -> pd.DataFrame:
-    """row, text of the pages without a marked article: their blocks without shared words."""
+    """row, left of the pages with open blocks: these without shared words."""
     streams = [[word for block in blocks for word in block.split(" ")] for blocks in table["blocks"]]
     kinds: dict[str, int] = {}
     texts = np.array([kinds.setdefault(" ".join(stream), len(kinds)) for stream in streams], np.int64)
     rows, left = [], []
     for row, open_from, blocks, covered in zip(table["row"], table["open_from"], table["blocks"], shared_words(streams, texts), strict=True):
-        if open_from >= 0:
+        if open_from < len(blocks):
             rows.append(row)
             left.append(_left(blocks, open_from, covered))
-    return pd.DataFrame({"row": np.array(rows, np.int64), "text": left})
+    return pd.DataFrame({"row": np.array(rows, np.int64), "left": pd.Series(left, dtype=object)})
 
 
 def _first_words(streams: DataFrame) -> DataFrame:
@@ -267,15 +282,18 @@ def _first_words(streams: DataFrame) -> DataFrame:
             "row": part.column("row").take(pa.array(page)),
             "host": part.column("host").take(pa.array(page)),
             "kind": rolling.of(bounds[:-1], bounds[1:]).view(np.int64)[page],
-            "open": part.column("open_from").to_numpy()[page] >= 0,
+            "open": part.column("open").take(pa.array(page)),
             "window": window[first].view(np.int64),
             "at": pa.ListArray.from_arrays(offsets, pa.array(place.astype(np.int32))),
         }
 
     schema = "row long, host string, kind long, open boolean, window long, at array<int>"
-    return map_texts(streams.select("row", "host", "blocks", "open_from"), work, schema, column=None)
+    return map_texts(streams.select("row", "host", "blocks", F.expr(_HAS_OPEN).alias("open")), work, schema, column=None)
 
 
+#: Whether a page has text that markup does not settle.
+_HAS_OPEN = "open_from < size(blocks)"
+
 _SPACE = np.zeros(256, bool)
 _SPACE[0x20] = True
 
@@ -290,38 +308,40 @@ def _unique_runs_of_large(streams: DataFrame) -> DataFrame:
     places = places.agg(F.flatten(F.collect_list("at")).alias("places"))
 
     def work(part: pa.RecordBatch) -> dict:
-        texts = []
+        left = []
         for blocks, begin, places in zip(*(part.column(n).to_pylist() for n in ("blocks", "open_from", "places")), strict=True):
             change = np.zeros(sum(block.count(" ") + 1 for block in blocks) + 1, np.int64)
             starts = np.array(places or [], np.int64)
             np.add.at(change, starts, 1)
             np.subtract.at(change, starts + LEAST_SHARED, 1)
-            texts.append(_left(blocks, begin, np.cumsum(change[:-1]) > 0))
-        return {"row": part.column("row"), "text": texts}
+            left.append(_left(blocks, begin, np.cumsum(change[:-1]) > 0))
+        return {"row": part.column("row"), "left": left}
 
-    pages = streams.filter("open_from >= 0").select("row", "blocks", "open_from").join(places, "row", "left")
-    return map_texts(pages, work, "row long, text string", column=None)
+    pages = streams.filter(_HAS_OPEN).select("row", "blocks", "open_from").join(places, "row", "left")
+    return map_texts(pages, work, "row long, left array<string>", column=None)
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """row, page_id, url, host, text (null without a marked article), blocks outside of it, words in these.
+    """row, page_id, url, host, text of marked articles, blocks outside of them, words in these.
 
-    In `blocks` those of marked elements come first; `open_from` is where the others begin, or -1.
+    In `blocks` those of marked elements come first; `open_from` is where the others begin, and `before`
+    says how many blocks of articles precede each of these.
     """
 
     def work(part: pa.RecordBatch) -> dict:
-        hosts, texts, blocks, begins, counts = [], [], [], [], []
+        hosts, texts, blocks, begins, places, counts = [], [], [], [], [], []
         for url, page in zip(part.column("url").to_pylist(), part.column("html").to_pylist(), strict=True):
-            article, loose, other, marked = blocks_of(page)
+            article, loose, other, before = blocks_of(page)
             found = _HOST.match(url or "")
             hosts.append(found[1].lower() if found else url)
-            texts.append("\n".join(article) if marked else None)
+            texts.append("\n".join(article))
             blocks.append(other + loose)
-            begins.append(-1 if marked else len(other))
+            begins.append(len(other))
+            places.append(before)
             counts.append(sum(block.count(" ") + 1 for block in other + loose))
         names = ("row", "page_id", "url", "declared")
         return {name: part.column(name) for name in names} | {
-            "host": hosts, "text": texts, "blocks": blocks, "open_from": begins, "words": counts,
+            "host": hosts, "text": texts, "blocks": blocks, "open_from": begins, "before": places, "words": counts,
         }
 
     html = text_of("html")
@@ -330,7 +350,7 @@ def parse(pages: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), "page_id", "url", html.alias("html"), declared.alias("declared")
     )
     kind = pages.schema["page_id"].dataType.simpleString()
-    schema = f"row long, page_id {kind}, url string, declared string, host string, text string, blocks array<string>, open_from int, words long"
+    schema = f"row long, page_id {kind}, url string, declared string, host string, text string, blocks array<string>, open_from int, before array<int>, words long"
     return map_texts(rows, work, schema, "html")
 
 
@@ -338,16 +358,24 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page, and the language that its root element declares."""
     parsed = written(parse(pages), "pages")
     streams = parsed.select("row", F.coalesce("host", F.lit("\0")).alias("host"), "blocks", "open_from", "words")
-    parts = streams.groupBy("host").agg(F.ceil(F.sum("words") / PART_WORDS).alias("parts"), F.max("open_from").alias("most"))
-    # hosts whose pages all mark their article need no evidence
-    wanted = written(parts.filter("most >= 0").select("host", F.greatest("parts", F.lit(1)).alias("parts")), "hosts")
-    judged = streams.join(wanted, "host")
+    parts = streams.groupBy("host").agg(F.greatest(F.ceil(F.sum("words") / PART_WORDS), F.lit(1)).alias("parts"))
+    hosts = written(parts, "hosts")
+    judged = streams.join(hosts, "host")
     groups = judged.filter("parts = 1").select("row", "host", "blocks", "open_from").groupBy("host")
-    runs = groups.applyInPandas(_unique_runs, "row long, text string")
-    if not wanted.filter("parts > 1").isEmpty():
+    runs = groups.applyInPandas(_unique_runs, "row long, left array<string>")
+    if not hosts.filter("parts > 1").isEmpty():
         runs = runs.unionByName(_unique_runs_of_large(judged.filter("parts > 1")))
-    marked = parsed.filter("open_from < 0").select("page_id", "url", "declared", "text")
-    others = parsed.filter("open_from >= 0").drop("text").join(runs, "row", "left")
-    text = F.coalesce("text", F.lit(""))
-    both = marked.unionByName(others.select("page_id", "url", "declared", "text"))
+    runs = written(runs, "runs")
+
+    def work(part: pa.RecordBatch) -> dict:
+        columns = (part.column(name).to_pylist() for name in ("text", "before", "left"))
+        names = ("page_id", "url", "declared")
+        return {name: part.column(name) for name in names} | {"text": [_in_order(*values) for values in zip(*columns, strict=True)]}
+
+    columns = ["page_id", "url", "declared", "text"]
+    settled = parsed.filter(f"NOT {_HAS_OPEN}").select(columns)
+    opened = parsed.filter(_HAS_OPEN).select(*columns, "row", "before").join(runs, "row")
+    kinds = ", ".join(f"{name} {settled.schema[name].dataType.simpleString()}" for name in columns)
+    both = settled.unionByName(map_texts(opened, work, kinds))
+    text = F.col("text")
     return both.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), "declared")
